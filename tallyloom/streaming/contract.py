@@ -25,27 +25,64 @@ INVALID = "EventValidationError"
 MALFORMED = "JSONDecodeError"
 POISON = "UnprocessableEvent"
 
+_DATED = r"^\s*\d{4}-\d{1,2}-\d{1,2}"  # a bare year or month is no point in time
+
 POSITION = ["topic", "partition", "offset"]
 
 
+_TX = ", ".join(f"`{f}`: string" for f in TRANSACTION_FIELDS)
+_EVENT = (
+    "array<struct<event_id: string, event_type: string, event_timestamp: string, "
+    f"source: string, source_file: string, transaction: struct<{_TX}>, seal: bigint>>"
+)
+_STRICT_JSON = {"allowSingleQuotes": "false"}
+_TRUTH = ["true", "false"]  # texts that may also be JSON booleans
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Add `payload` (text, NULL if not UTF-8) and `parsed`: a variant [event, seal].
+    """Add `payload` (text), `event` (declared fields as text) and `parsed` (the whole
+    event as a variant).
+
+    Nearly all events have the declared shape, and then `event` decides everything. Only
+    for the others, where it matters whether a field is absent, null, a boolean or an
+    object, the slower `parsed` is filled and `event` is NULL.
 
-    The JSON parser stops after the first complete value, so the text is wrapped as
-    [text, seal]; trailing junk breaks the wrapper or displaces the seal.
+    JSON parsers stop after the first complete value, so the text goes in as
+    [text, seal]: trailing junk breaks the wrapper or displaces the seal.
     """
-    text = F.col("value").cast("string")
-    payload = F.when(F.is_valid_utf8(text), text)
-    seal = F.xxhash64(payload).cast("string")
-    wrapped = F.concat(F.lit("["), payload, F.lit(","), seal, F.lit("]"))
-    return computed_once(messages, payload=payload, parsed=F.try_parse_json(wrapped))
+    payload = F.col("value").cast("string")
+    seal = F.xxhash64(payload)
+    as_object = F.concat(F.lit("["), payload, F.lit(',{"seal":'), seal.cast("string"), F.lit("}]"))
+    first = computed_once(messages, payload=payload,
+                          pair=F.from_json(as_object, _EVENT, _STRICT_JSON))
+    event = F.get("pair", 0)
+    tx = event["transaction"]
+    declared = (
+        F.is_valid_utf8("payload") & (F.size("pair") == 2)
+        & (F.get("pair", 1)["seal"] == F.xxhash64("payload"))
+        & event["event_id"].isNotNull() & event["event_timestamp"].isNotNull()
+        & ~event["event_type"].isin(_TRUTH) & tx.isNotNull()
+        & ~_any([F.coalesce(tx[f].isin(_TRUTH), F.lit(False)) for f in NUMERIC_FIELDS])
+    )
+    as_list = F.concat(F.lit("["), "payload", F.lit(","),
+                       F.xxhash64("payload").cast("string"), F.lit("]"))
+    kept = first.withColumn("event", F.when(declared, event)).drop("pair")
+    return computed_once(
+        kept, event=F.col("event"),
+        parsed=F.when(F.col("event").isNull(), F.try_parse_json(as_list)))
 
 
 def _part(path: str = "", dtype: str = "string") -> Column:
-    """A piece of the event; NULL where the path leads nowhere."""
+    """A piece of the variant event; NULL where the path leads nowhere."""
     return F.try_variant_get("parsed", f"$[0]{path}", dtype)
 
 
+def _field(path: str) -> Column:
+    """A field of the event as text, whichever way it was parsed."""
+    declared = reduce(lambda c, name: c[name], path.split("."), F.col("event"))
+    return F.when(F.col("event").isNotNull(), declared).otherwise(_part(f".{path}"))
+
+
 def _kind(path: str = "") -> Column:
     return F.schema_of_variant(_part(path, "variant"))
 
@@ -63,25 +100,27 @@ def _name_list(names: list[str], absent: list[Column]) -> Column:
 def _printed_type() -> Column:
     """The event type as the contract prints it: null and booleans are spelled out."""
     text = F.col("event_type")
-    is_boolean = text.isin("true", "false") & (_kind(".event_type") == "BOOLEAN")
+    is_boolean = text.isin(_TRUTH) & (_kind(".event_type") == "BOOLEAN")
     return (F.when(text.isNull(), F.lit("None"))
             .when(is_boolean, F.initcap(text)).otherwise(text))
 
 
 def _extract(parsed: DataFrame) -> DataFrame:
     """The event's fields as text, and what kind of value it is if fields are absent."""
-    fields = {f"tx_{f}": _part(f".transaction.{f}") for f in TRANSACTION_FIELDS}
+    fields = {f"tx_{f}": _field(f"transaction.{f}") for f in TRANSACTION_FIELDS}
     lacks = _any([_part(f".{f}", "variant").isNull() for f in EVENT_FIELDS])
-    seal = F.try_variant_get("parsed", "$[1]", "bigint")
+    sealed = F.try_variant_get("parsed", "$[1]", "bigint") == F.xxhash64("payload")
+    declared = F.col("event").isNotNull()
+    time = _field("event_timestamp")
     return computed_once(
         parsed,
-        well_formed=F.coalesce(seal == F.xxhash64("payload"), F.lit(False)),
-        event_id=_part(".event_id"),
-        event_type=_part(".event_type"),
-        event_timestamp=_part(".event_timestamp").try_cast("timestamp"),
-        source=_part(".source"),
-        source_file=_part(".source_file"),
-        odd_kind=F.when(lacks, _kind()),  # NULL for a complete object, the usual case
+        well_formed=declared | F.coalesce(sealed, F.lit(False)),
+        event_id=_field("event_id"),
+        event_type=_field("event_type"),
+        event_timestamp=F.when(time.rlike(_DATED), time.try_cast("timestamp")),
+        source=_field("source"),
+        source_file=_field("source_file"),
+        odd_kind=F.when(~declared & lacks, _kind()),  # NULL for a complete object
         **fields,
     )
 
@@ -106,7 +145,7 @@ def _faults() -> list[tuple[str, Column, Column]]:
 
     def is_boolean(f: str) -> Column:  # JSON true, not the text "true"
         as_number = _part(f".transaction.{f}", "double")
-        return tx[f].isin("true", "false") & as_number.isNotNull()
+        return tx[f].isin(_TRUTH) & as_number.isNotNull()
 
     def value(f: str) -> Column:
         return F.when(is_boolean(f), (tx[f] == "true").cast("double")).otherwise(
@@ -126,7 +165,8 @@ def _faults() -> list[tuple[str, Column, Column]]:
 
     return [
         (POISON, F.col("value").isNull(), text("message has no value")),
-        (POISON, F.col("payload").isNull(), text("message is not UTF-8")),
+        (POISON, F.col("event").isNull() & ~F.is_valid_utf8("payload"),
+         text("message is not UTF-8")),
         (MALFORMED, ~F.col("well_formed"), text("message is not JSON")),
         (POISON, odd.isNotNull() & ~(is_object | is_list | (odd == "STRING")),
          text("event is not an object")),
@@ -135,7 +175,7 @@ def _faults() -> list[tuple[str, Column, Column]]:
         (POISON, odd.isNotNull(), text("event is not an object")),
         (INVALID, ~F.col("event_type").eqNullSafe(EVENT_TYPE),
          F.concat(text("Unsupported event type: "), _printed_type())),
-        (INVALID, no_fields & ~F.coalesce(
+        (INVALID, no_fields & F.col("event").isNull() & ~F.coalesce(
             _kind(".transaction").startswith("OBJECT"), F.lit(False)),
          text("transaction must be an object")),
         (INVALID, _any(blank), F.concat(
@@ -168,7 +208,7 @@ def validate(messages: DataFrame, on_poison: str = "dlq") -> DataFrame:
     for error_type, broken, message in _faults():
         outcome = found(error_type, message)
         fault = F.when(broken, outcome) if fault is None else fault.when(broken, outcome)
-    checked = _extract(parse_messages(messages)).withColumn("fault", fault)
+    checked = computed_once(_extract(parse_messages(messages)), fault=fault)
     return checked.select(
         *messages.columns, "payload", "event_id", "event_type", "event_timestamp",
         "source", "source_file",
