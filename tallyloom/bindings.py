@@ -7,6 +7,9 @@ sales that a stream event corrects later.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -254,9 +257,13 @@ def _event_json(fields: dict[str, Column], event_type: Column, transaction: Colu
     ))
 
 
-def correction_messages(t: Tables) -> DataFrame:
-    """One message per returned line: the sale again, with one unit more."""
+def correction_messages(t: Tables, status: str | None = None) -> DataFrame:
+    """One message per returned line: the sale again, with one unit more. With a line
+    status only the corrections of that status, so that they can arrive one after the
+    other."""
     lines = _sales_lines(t).filter("l_returnflag = 'R'")
+    if status:
+        lines = lines.filter(F.col("l_linestatus") == status)
     fields = {c: _text(c) for c in TRANSACTION_FIELDS}
     fields["quantity"] = _text(F.col("quantity") + 1)
     transaction = F.struct(*[v.alias(k) for k, v in fields.items()])
@@ -345,13 +352,19 @@ def sales_events(t: Tables) -> DataFrame:
     return stored.withColumn("ingested_at", F.col("event_timestamp"))
 
 
-def sources(t: Tables) -> dict[str, DataFrame]:
-    """Every RAW input of the model graph."""
-    return {
-        "sales": sales(t), "product": product(t), "distributor": distributor(t),
-        "salesperson": salesperson(t), "outlet": outlet(t), "target": target(t),
-        "inventory": inventory(t), "sales_events": sales_events(t),
-    }
+def calendar_days(t: Tables) -> DataFrame:
+    """The dates that bound the calendar: order dates, order months, shipping months."""
+    dates = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return dates.select(F.explode(F.array(
+        F.col("o_orderdate").cast("date"), F.trunc("o_orderdate", "MM"),
+        F.trunc("l_shipdate", "MM"))).alias("day"))
+
+
+def sources(t: Tables) -> dict[str, Callable[[], DataFrame]]:
+    """Every RAW input of the model graph, built when it is asked for."""
+    inputs = (sales, product, distributor, salesperson, outlet, target, inventory,
+              sales_events)
+    return {bind.__name__: partial(bind, t) for bind in inputs}
 
 
 # ---------------------------------------------------------------- ledger bindings

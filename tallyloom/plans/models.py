@@ -21,24 +21,27 @@ MARTS = ["dim_date", "dim_product", "dim_distributor", "dim_salesperson", "dim_o
 class Models:
     """Named lookup of RAW tables (`source`) and models (`ref`), built on first use.
 
-    `sources` maps a RAW name to a DataFrame. `given` holds models that exist already
+    `sources` maps a RAW name to a DataFrame, or to a function that makes it. `given` holds models that exist already
     (marts read back from disk), so that a subset can be built on top of them.
     `bounds` are extra (model, column) pairs for the calendar; by default it spans
     batch sales, targets and inventory only, and stream dates outside get a NULL key.
     """
 
-    def __init__(self, sources: dict[str, DataFrame],
+    def __init__(self, sources: dict[str, DataFrame | Callable[[], DataFrame]],
                  given: dict[str, DataFrame] | None = None,
                  bounds: list[tuple[str, str]] | None = None,
                  exact_margin: bool = True):
-        self._sources = sources
+        self._sources = dict(sources)
         self._built = dict(given or {})
         self._bounds = [("stg_sales", "sales_date"), ("stg_target", "month_start"),
                         ("stg_inventory", "month_start"), *(bounds or [])]
         self._exact_margin = exact_margin
 
     def source(self, name: str) -> DataFrame:
-        return self._sources[name]
+        table = self._sources[name]
+        if not isinstance(table, DataFrame):
+            table = self._sources[name] = table()
+        return table
 
     def ref(self, name: str) -> DataFrame:
         if name not in self._built:
