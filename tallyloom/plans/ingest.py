@@ -39,15 +39,20 @@ def _header_fault(file, feed: Feed) -> str | None:
     return None
 
 
-def _write_raw(lake: Lake, files: list, feed: Feed, run_ids: dict[str, int]) -> None:
-    """Scan, land, number and write the rows of the files, one partition per run."""
+def _write_raw(lake: Lake, files: list, feed: Feed, run_ids: dict[str, int]) -> dict[int, int]:
+    """Scan, land, number and write the rows of the files, one partition per run.
+
+    Returns the rows by run, counted from what was written.
+    """
     spark = lake.spark
     landing = lake.path("landing", feed.table)
     with_scan_id(_scan(lake, files, feed)).write.mode("overwrite").parquet(landing)
     by_file = spark.createDataFrame(
         [(f["path"].rsplit("/", 1)[-1], run_ids[f["source_name"]]) for f in files],
-        "source_file string, pipeline_run_id bigint")
-    numbered = number_rows(spark.read.parquet(landing)).join(by_file, "source_file")
+        "source_file string, run bigint")
+    numbered = number_rows(spark.read.parquet(landing)).join(by_file, "source_file", "left")
+    stray = F.raise_error(F.concat(F.lit("row of an unknown file: "), "source_file"))
+    numbered = numbered.withColumn("pipeline_run_id", F.coalesce("run", stray.cast("bigint")))
     record = F.shiftleft(F.col("pipeline_run_id"), 40) + F.col("source_row_number")
     sheet = [F.lit(feed.sheet).alias("source_sheet")] if feed.sheet else []
     rows = numbered.select(
@@ -55,58 +60,76 @@ def _write_raw(lake: Lake, files: list, feed: Feed, run_ids: dict[str, int]) ->
         "source_row_number", "pipeline_run_id",
         F.current_timestamp().alias("ingested_at"))
     lake.write_partitions(rows, "raw", feed.table, "pipeline_run_id")
+    written = lake.read("raw", feed.table).filter(
+        F.col("pipeline_run_id") >= min(run_ids.values()))
+    counted = written.groupBy("pipeline_run_id").count().collect()  # one row per file
+    return {r["pipeline_run_id"]: r["count"] for r in counted}
 
 
-def load_files(lake: Lake, pipeline: str, feed: Feed, files: DataFrame) -> list[tuple]:
+def load_files(lake: Lake, pipeline: str, files: DataFrame) -> list[tuple]:
     """Load the files whose content was not loaded before; (source, decision, run, rows).
 
-    Files are taken in name order up to the first one with wrong columns. That one is
-    recorded as FAILED and raised after the others are in, as if they came one by one.
+    `files` are fingerprints with the RAW table they belong to; `place` orders them. They
+    are taken in order up to the first one with wrong columns. That one is recorded as
+    FAILED and raised after the others are in, as if they came one by one.
     """
     ledger = Ledger(lake)
-    decided = decide(files, ledger.runs(), pipeline).orderBy("source_name").collect()
+    decided = decide(files, ledger.runs(), pipeline).orderBy("place").collect()
     faults = {f["source_name"]: fault for f in decided if f["decision"] == "LOAD"
-              and (fault := _header_fault(f, feed))}
+              and (fault := _header_fault(f, FEEDS[f["table"]]))}
     stop = next((i for i, f in enumerate(decided) if f["source_name"] in faults), None)
     todo = decided if stop is None else decided[:stop]
 
-    skipped = [f for f in todo if f["decision"] == "SKIP"]
+    report, active, counts = [], [], {}
+    for f in (f for f in todo if f["decision"] == "SKIP"):
+        report.append((f["source_name"], "SKIPPED", f["known_run"], None))
+        active.append((f["source_name"], f["known_run"], f["sha256"]))
     fresh = [f for f in todo if f["decision"] == "LOAD"]
-    ledger.set_active(pipeline, [
-        (f["source_name"], f["known_run"], f["sha256"]) for f in skipped])
-    counts = {}
-    run_ids = {}
-    if fresh:
-        run_ids = ledger.start(pipeline, fresh)
-        try:
-            _write_raw(lake, fresh, feed, run_ids)
-            counted = (lake.read("raw", feed.table)
-                       .filter(F.col("pipeline_run_id") >= min(run_ids.values()))
-                       .groupBy("pipeline_run_id").count().collect())
-        except Exception as error:
-            ledger.fail(list(run_ids.values()), str(error))
-            raise
-        counts = {run: 0 for run in run_ids.values()}
-        counts.update({r["pipeline_run_id"]: r["count"] for r in counted})
+    try:
+        for table in dict.fromkeys(f["table"] for f in fresh):
+            group = [f for f in fresh if f["table"] == table]
+            run_ids = ledger.start(pipeline, group)
+            try:
+                loaded = _write_raw(lake, group, FEEDS[table], run_ids)
+            except Exception as error:
+                ledger.fail(list(run_ids.values()), str(error))
+                raise
+            for f in group:
+                run = run_ids[f["source_name"]]
+                counts[run] = loaded.get(run, 0)
+                report.append((f["source_name"], "LOADED", run, counts[run]))
+                active.append((f["source_name"], run, f["sha256"]))
+    finally:
         ledger.complete(counts)
-        ledger.set_active(pipeline, [
-            (f["source_name"], run_ids[f["source_name"]], f["sha256"]) for f in fresh])
+        ledger.set_active(pipeline, active)
     if stop is not None:
         bad = decided[stop]
         run = ledger.start(pipeline, [bad])[bad["source_name"]]
         ledger.fail([run], faults[bad["source_name"]])
         raise ValueError(f"{bad['source_name']}: {faults[bad['source_name']]}")
-    return [
-        (f["source_name"], "SKIPPED", f["known_run"], None) if f["decision"] == "SKIP"
-        else (f["source_name"], "LOADED", run_ids[f["source_name"]],
-              counts[run_ids[f["source_name"]]])
-        for f in decided]
+    return sorted(report)
+
+
+def sales_files(spark, folder: str, pattern: str = SALES_FILE_PATTERN) -> DataFrame:
+    """Fingerprints of the sales files of a folder, in name order."""
+    return fingerprint(spark, folder, pattern).select(
+        "*", F.lit("sales").alias("table"), F.col("source_name").alias("place"))
+
+
+def master_files(spark, folder: str, book: str, entities: list[str]) -> DataFrame:
+    """Fingerprints of the entity exports <Entity>.csv or <Entity>.parquet of a folder."""
+    names = ",".join(entities)
+    found = fingerprint(spark, folder, f"{{{names}}}.{{csv,parquet}}")
+    entity = F.substring_index("source_name", ".", 1)
+    tables = F.create_map(*[F.lit(x) for e in entities for x in (e, ENTITIES[e].table)])
+    order = F.array_position(F.array(*[F.lit(e) for e in entities]), entity)
+    return found.select("*", tables[entity].alias("table"), order.alias("place")).withColumn(
+        "source_name", F.concat(F.lit(f"{book}:"), entity))
 
 
 def ingest_sales(lake: Lake, folder: str) -> DataFrame:
     """Load all sales files of a folder; returns one decision per file."""
-    files = fingerprint(lake.spark, folder, SALES_FILE_PATTERN)
-    report = load_files(lake, SALES_PIPELINE, FEEDS["sales"], files)
+    report = load_files(lake, SALES_PIPELINE, sales_files(lake.spark, folder))
     if not report:
         raise FileNotFoundError(f"No sales files found in: {folder}")
     return lake.spark.createDataFrame(report, REPORT_SCHEMA)
@@ -118,13 +141,11 @@ def master_source(book: str, entity: str) -> str:
 
 def ingest_master(lake: Lake, folder: str, book: str = "MasterData",
                   entities: list[str] | None = None) -> DataFrame:
-    """Load the entity exports <Entity>.csv or <Entity>.parquet of a folder."""
-    report = []
-    for entity in entities or list(ENTITIES):
-        files = fingerprint(lake.spark, folder, f"{entity}.{{csv,parquet}}").withColumn(
-            "source_name", F.lit(master_source(book, entity)))
-        loaded = load_files(lake, MASTER_PIPELINE, ENTITIES[entity], files)
-        if not loaded:
-            raise FileNotFoundError(f"No export of {entity} found in: {folder}")
-        report += loaded
+    """Load the entity exports of a folder; returns one decision per entity."""
+    wanted = entities or list(ENTITIES)
+    report = load_files(
+        lake, MASTER_PIPELINE, master_files(lake.spark, folder, book, wanted))
+    absent = {master_source(book, e) for e in wanted} - {r[0] for r in report}
+    if absent:
+        raise FileNotFoundError(f"No export of {sorted(absent)} found in: {folder}")
     return lake.spark.createDataFrame(report, REPORT_SCHEMA)

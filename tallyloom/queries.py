@@ -11,7 +11,7 @@ from . import bindings as b
 from .operators import profiling, quality, reconcile, versioning
 from .operators.dimensions import dim_date
 from .operators.staging import EVENT_PAYLOAD_SCHEMA, stage_events
-from .plans.ingest import load_files
+from .plans.ingest import load_files, sales_files
 from .plans.models import MARTS, STAGING, Models
 from .schemas import FEEDS, SALES_PIPELINE, TRANSACTION_FIELDS
 from .session import configure, work_dir
@@ -125,8 +125,8 @@ def _written_csv(t: b.Tables) -> str:
 def _ingest(t: b.Tables, times: int):
     lake = Lake(t.spark, work_dir(t.spark, "lake"))
     folder = _written_csv(t)
-    reports = [load_files(lake, SALES_PIPELINE, FEEDS["sales"],
-                          fingerprint(t.spark, folder, "*.csv")) for _ in range(times)]
+    reports = [load_files(lake, SALES_PIPELINE, sales_files(t.spark, folder, "*.csv"))
+               for _ in range(times)]
     current = versioning.current_raw(
         lake.read("raw", "sales"), Ledger(lake).state(), SALES_PIPELINE)
     return reports, current

@@ -23,6 +23,7 @@ ADAPTIVE = {
 }
 
 STREAM_STATE = {
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -50,6 +51,9 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
     return spark
 
 
+_local_base: list[str] = []
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir.
 
@@ -57,6 +61,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        base = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _local_base:
+            _local_base.append(tempfile.mkdtemp(prefix="tallyloom-"))
+        base = _local_base[0]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -114,7 +114,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def _place() -> list[Column]:
     """Where a row was read: file name and start of the split within the file."""
-    return [F.col("_metadata.file_name").alias("source_file"),
+    escaped = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return [F.url_decode(escaped).alias("source_file"),
             F.col("_metadata.file_block_start").alias("split_start")]
 
 

@@ -31,6 +31,8 @@ class Ledger:
 
     def _append(self, rows: list[dict]) -> None:
         """Add run entries; fields that are not given stay as they were."""
+        if not rows:
+            return
         schema = T.StructType.fromDDL(RUN_LOG_SCHEMA)
         now = F.current_timestamp()
         filled = [tuple(r.get(f) for f in schema.names) for r in rows]
