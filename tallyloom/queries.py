@@ -12,6 +12,7 @@ from .operators import profiling, quality, reconcile, versioning
 from .operators.dimensions import dim_date
 from .operators.staging import EVENT_PAYLOAD_SCHEMA, stage_events
 from .plans.ingest import load_files, sales_files
+from .plans.jobs import build
 from .plans.models import MARTS, STAGING, Models
 from .schemas import FEEDS, SALES_PIPELINE, TRANSACTION_FIELDS
 from .session import configure, work_dir
@@ -170,6 +171,14 @@ def _orphans(m: Models) -> DataFrame:
         "distributor_id": (m.ref("stg_distributor"), "distributor_id")})
 
 
+def _run_tests(t: b.Tables) -> DataFrame:
+    """All declared tests. The unified sales and their fact, which many tests read, are
+    written once, as a build does."""
+    built = build(Lake(t.spark, work_dir(t.spark, "lake")), b.sources(t),
+                  ["stg_sales_unified", "fact_sales"])
+    return quality.run_tests(built.ref)
+
+
 def _counts(m: Models) -> DataFrame:
     return reconcile.layer_counts(m.source, m.ref)
 
@@ -214,7 +223,7 @@ def all_queries() -> dict[str, Query]:
         "orphans": _over_models(_orphans),
         "row_count_pairs": _over_models(
             lambda m: quality.count_mismatch(m.ref("stg_sales"), m.ref("fact_sales"))),
-        "run_tests": _over_models(lambda m: quality.run_tests(m.ref)),
+        "run_tests": _over_tables(_run_tests),
         "reconcile": _over_models(lambda m: reconcile.reconcile(_counts(m))),
         "count_report": _over_models(lambda m: reconcile.count_report(_counts(m))),
         "profile_entities": _over_tables(_profile_entities),

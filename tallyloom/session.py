@@ -45,6 +45,8 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
+        # a stack trace per column expression: helps debugging, doubles the time to plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
