@@ -23,6 +23,7 @@ ADAPTIVE = {
 }
 
 STREAM_STATE = {
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",  # kept for record_progress
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

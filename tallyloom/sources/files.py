@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import re
 from collections import defaultdict
 from functools import reduce
 
@@ -45,7 +46,8 @@ def fingerprint(spark: SparkSession, folder: str, pattern: str = "*") -> DataFra
         def stream(path):
             if path.startswith("file:"):
                 return open("/" + path[5:].lstrip("/"), "rb")
-            filesystem, inner = pafs.FileSystem.from_uri(path)
+            uri = re.sub("^s3[an]:", "s3:", path)  # Spark's names for the same store
+            filesystem, inner = pafs.FileSystem.from_uri(uri)
             return filesystem.open_input_stream(inner)
 
         def read(path):

@@ -111,9 +111,10 @@ def event_sink(messages: DataFrame, lake: Lake, checkpoint: str, consumer_group:
             if batch.isEmpty():
                 return
             valid, invalid = split(batch)
-            fresh = first_arrivals(valid)
+            fresh = valid  # the state has let one row per event through
             if dedup == "index":
-                fresh = not_stored(fresh, raw_events(lake).filter(F.col("batch_id") < batch_id))
+                stored = raw_events(lake).filter(F.col("batch_id") < batch_id)
+                fresh = not_stored(first_arrivals(valid), stored)
             number = F.lit(batch_id).cast("bigint").alias("batch_id")
             lake.write_partitions(to_raw_events(fresh).select("*", number),
                                   "raw", EVENTS, "batch_id")
