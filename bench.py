@@ -19,7 +19,7 @@ from tallyloom.session import local_session  # noqa: E402
 HEADLINE = [
     "stg_sales", "stg_inventory", "stg_target", "stg_sales_streaming", "stg_sales_unified",
     "dim_date", "dim_product", "dim_outlet", "fact_sales", "fact_inventory",
-    "fact_sales_target", "pipeline_runs", "latest_versions", "skip_decisions",
+    "fact_sales_target", "run_ledger", "latest_versions", "skip_decisions",
     "current_raw_sales", "event_contract", "dlq_events", "dedup_events",
     "grain_violations_sales", "inventory_imbalance", "unique_violations", "orphans",
     "reconcile", "run_tests", "ingest_sales", "event_sink_state",

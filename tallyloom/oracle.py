@@ -439,7 +439,7 @@ def all_sql() -> dict[str, str]:
         _count_line("Inventory", "raw_inventory", "staging_inventory", "warehouse_inventory"),
         _count_line("Target", "raw_target", "staging_target", "warehouse_target")])
     finals = {
-        "pipeline_runs": "SELECT * FROM runs",
+        "run_ledger": "SELECT * FROM runs",
         "latest_versions": """
             SELECT pipeline_name, source_name, run_id, source_hash, source_size_bytes,
                    source_modified_at, started_at, finished_at

@@ -186,7 +186,7 @@ def _counts(m: Models) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         **{name: _model(name) for name in STAGING + MARTS},
-        "pipeline_runs": _over_tables(_runs),
+        "run_ledger": _over_tables(_runs),
         "latest_versions": _over_tables(lambda t: versioning.latest_versions(_runs(t))),
         "seed_active": _over_tables(lambda t: versioning.seed_state(_runs(t))),
         "active_state": _over_tables(lambda t: versioning.active_state(b.state_log(t))),

@@ -14,7 +14,7 @@ from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 from check_sql import TABLES, plain  # noqa: E402
 
 SAMPLE = ["stg_sales", "stg_inventory", "fact_sales", "fact_sales_target", "dim_date",
-          "pipeline_runs", "seed_active", "skip_decisions", "current_raw_sales",
+          "run_ledger", "seed_active", "skip_decisions", "current_raw_sales",
           "event_contract", "dlq_events", "ingest_twice", "orphans", "profile_entities"]
 
 
