@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import decontaminate, language, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,9 +25,30 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    profiles = language.learned(docs)
+    return language.predict(docs.select("doc_id", "text"), profiles).select(
+        "doc_id", F.coalesce(language.third(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
+        "lang_pred", "score")
+
+
+def vocabulary() -> str:
+    """Where the packing query finds its vocabulary; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), vocabulary())
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op2_decontaminate": op2_decontaminate,
+        "op3_language_id": op3_language_id,
+        "op4_best_fit_packing": op4_best_fit_packing,
     }
 
 
