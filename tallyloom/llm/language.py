@@ -88,12 +88,13 @@ def counted(keys: np.ndarray, weights: np.ndarray | None = None,
     return keys[first], np.add.reduceat(weights, first) if len(first) else weights
 
 
-def ranked(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def ranked(keys: np.ndarray, counts: np.ndarray, kept: int) -> np.ndarray:
     """The most frequent n-grams, equal ones in their own order."""
-    return keys[np.argsort(-counts, kind="stable")[:KEPT]]
+    return keys[np.argsort(-counts, kind="stable")[:kept]]
 
 
-def train(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def train(documents: DataFrame, text: str = "text", lang: str = "lang",
+          kept: int = KEPT) -> DataFrame:
     """lang, gram, place (from 0): the profile of every language, from all the rows."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +126,7 @@ def train(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     found = found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return found.withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= KEPT).select("lang", "gram", (F.col("place") - 1).alias("place"))
+        F.col("place") <= kept).select("lang", "gram", (F.col("place") - 1).alias("place"))
 
 
 @dataclass
@@ -133,30 +134,31 @@ class Profiles:
     names: list[str]
     grams: np.ndarray  # all that are in a profile, sorted
     places: np.ndarray  # of each, and of any other, in each language
+    kept: int
 
     def nearest(self, top: np.ndarray) -> tuple[str, float]:
         """Language of ranked n-grams, and how near it is: 1 for the profile itself."""
         at = np.minimum(np.searchsorted(self.grams, top), len(self.grams) - 1)
         at = np.where(self.grams[at] == top, at, len(self.grams))
         places = self.places[at]
-        apart = np.where(places == KEPT, KEPT, np.abs(places - np.arange(len(top))[:, None]))
+        apart = np.where(places == self.kept, self.kept, np.abs(places - np.arange(len(top))[:, None]))
         distance = apart.sum(0)
         best = int(np.argmin(distance))
-        return self.names[best], 1.0 - float(distance[best]) / (KEPT * len(top))
+        return self.names[best], 1.0 - float(distance[best]) / (self.kept * len(top))
 
 
-def collect_profiles(profiles: DataFrame) -> Profiles:
-    """At most LANGUAGES times KEPT rows."""
-    rows = profiles.limit(LANGUAGES * KEPT + 1).collect()
-    if len(rows) > LANGUAGES * KEPT:
+def collect_profiles(profiles: DataFrame, kept: int = KEPT) -> Profiles:
+    """At most LANGUAGES times `kept` rows."""
+    rows = profiles.limit(LANGUAGES * kept + 1).collect()
+    if len(rows) > LANGUAGES * kept:
         raise ValueError(f"more than {LANGUAGES} languages")
     names = sorted({r["lang"] for r in rows})
     keys = np.unique(np.array([r["gram"] for r in rows], np.uint32))
-    places = np.full((len(keys) + 1, len(names)), KEPT, np.int64)
+    places = np.full((len(keys) + 1, len(names)), kept, np.int64)
     column = {n: i for i, n in enumerate(names)}
     for r in rows:
         places[np.searchsorted(keys, np.uint32(r["gram"])), column[r["lang"]]] = r["place"]
-    return Profiles(names, keys, places)
+    return Profiles(names, keys, places, kept)
 
 
 def letters_in(column: pa.Array) -> np.ndarray:
@@ -190,7 +192,7 @@ def predict(documents: DataFrame, profiles: Profiles, text: str = "text") -> Dat
                     names.append("und")
                     scores.append(0.0)
                     continue
-                name, score = profiles.nearest(ranked(keys[a:b], counts[a:b]))
+                name, score = profiles.nearest(ranked(keys[a:b], counts[a:b], profiles.kept))
                 names.append(name)
                 scores.append(score)
             yield pa.record_batch(

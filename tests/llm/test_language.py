@@ -24,12 +24,11 @@ def slow_grams(text):
     return out
 
 
-def test_profiles_and_distances_are_those_of_the_definition(spark, monkeypatch):
-    monkeypatch.setattr(g, "KEPT", 30)
+def test_profiles_and_distances_are_those_of_the_definition(spark):
     docs = spark.createDataFrame([(*r, "x") for r in ROWS],
                                  "doc_id long, text string, lang string, score string")
     got = {}
-    for r in g.train(docs).collect():
+    for r in g.train(docs, kept=30).collect():
         got.setdefault(r.lang, {})[r.place] = r.gram
     profiles = {}
     for lang in ("de", "en"):
@@ -37,7 +36,7 @@ def test_profiles_and_distances_are_those_of_the_definition(spark, monkeypatch):
         order = sorted(counts, key=lambda k: (-counts[k], k))[:30]
         assert [got[lang][i] for i in range(len(order))] == order
         profiles[lang] = order
-    found = g.predict(docs.drop("score", "lang"), g.collect_profiles(g.train(docs)))
+    found = g.predict(docs.drop("score", "lang"), g.collect_profiles(g.train(docs, kept=30), 30))
     for r, (_, text, _) in zip(sorted(found.collect()), ROWS):
         if not text or not any(map(str.isalpha, text)):
             assert (r.lang_pred, r.score) == ("und", 0.0)
