@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, packing
+from . import decontaminate, language, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = secrets.find_secrets(docs, secrets.ratios(secrets.labelled(docs)))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+
+    def of(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"), of(3).alias("n_markov"))
+
+
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_hits(table(spark, folder, "documents"),
                                     table(spark, folder, "benchmark"))
@@ -46,6 +60,7 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op2_decontaminate": op2_decontaminate,
         "op3_language_id": op3_language_id,
         "op4_best_fit_packing": op4_best_fit_packing,
