@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, packing, secrets
+from . import archives, decontaminate, language, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,15 +58,35 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary())
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archives.round_trip(table(spark, folder, "pages"), spark).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+  SELECT payload_digest AS d, min(page_id) AS first_id FROM p
+  WHERE octet_length(payload) >= 100 GROUP BY 1)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON payload_digest = d
+"""
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_decontaminate": op2_decontaminate,
         "op3_language_id": op3_language_id,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op9_warc": op9_warc,
     }
 
 
 def llm_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {}
+    return {"op9_warc": OP9_SQL}
