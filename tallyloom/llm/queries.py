@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, decontaminate, language, packing, secrets
+from . import archives, decontaminate, jaccard, language, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,11 @@ FROM p LEFT JOIN f ON payload_digest = d
 """
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join_similar(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", "n_links", "component_id", "kept")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -84,6 +89,7 @@ def llm_queries() -> dict[str, Query]:
         "op3_language_id": op3_language_id,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op9_warc": op9_warc,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
