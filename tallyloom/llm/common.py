@@ -243,3 +243,40 @@ def components(edges: DataFrame) -> DataFrame:
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         roots).distinct()
+
+
+def least_labels(link: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    """Smallest reachable number for each of n places over linked pairs."""
+    label = np.arange(n)
+    if not link:
+        return label
+    i = np.concatenate([x for x, _ in link])
+    j = np.concatenate([y for _, y in link])
+    while True:
+        new = label.copy()
+        least = np.minimum(label[i], label[j])
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def settle(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """uid, id, n_links, component_id, kept_uid of each class of equal rows.
+
+    classes: uid, id (of its first row), members. links: uid, n (linked documents of other
+    classes), to (one of them, so that these edges join all that is linked).
+    """
+    counts = links.groupBy("uid").agg(F.sum("n").alias("n"))
+    part = components(links.select(F.col("uid").alias("a"), F.col("to").alias("b")))
+    named = classes.select("uid", "id", "members").join(counts, "uid", "left").join(
+        part.withColumnRenamed("id", "uid"), "uid", "left").select(
+        "uid", "id", (F.coalesce("n", F.lit(0)) + F.col("members") - 1).alias("n_links"),
+        F.coalesce("component", "uid").alias("component"))
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "uid")
+    names = named.groupBy("component").agg(F.min(order).alias("first")).select(
+        "component", F.col("first.id").alias("component_id"),
+        F.col("first.uid").alias("kept_uid"))
+    return named.join(names, "component").drop("component")

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, U64, Words, components, cut, flat, mix, pieces, windows_hash
+from .common import (ALNUM, U64, Words, components, cut, flat, least_labels, mix, pieces,
+                     settle, windows_hash)
 
 SHINGLE = 5  # words
 SIMILAR = 0.8
@@ -151,24 +152,6 @@ def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def least_labels(link: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
-    """Smallest reachable number for each of n places over linked pairs."""
-    label = np.arange(n)
-    if not link:
-        return label
-    i = np.concatenate([x for x, _ in link])
-    j = np.concatenate([y for _, y in link])
-    while True:
-        new = label.copy()
-        least = np.minimum(label[i], label[j])
-        np.minimum.at(new, i, least)
-        np.minimum.at(new, j, least)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def linked_within(rows: pd.DataFrame, least: dict[int, int], similar: float,
                   sides: tuple[int, int]) -> Iterator[tuple[int, int, int]]:
     """(uid, documents linked, smallest uid of its part) in one cluster's two blocks."""
@@ -254,19 +237,9 @@ def join_similar(documents: DataFrame, key: str = "doc_id", text: str = "text",
         classes.select("uid", "members", "bytes", "class_id", "digest"), "uid"))
     links = cut(compare_clusters(documents, near, slim, key, text, size, similar))
 
-    counts = links.groupBy("uid").agg(F.sum("n").alias("n"))
-    part = components(links.select(F.col("uid").alias("a"), F.col("to").alias("b")))
-    named = classes.join(counts, "uid", "left").join(
-        part.withColumnRenamed("id", "uid"), "uid", "left").select(
-        "digest", "class_id", "members", "uid", F.coalesce("n", F.lit(0)).alias("n"),
-        F.coalesce("component", "uid").alias("component"))
-    order = F.struct(F.col("class_id").isNull().alias("last"), "class_id", "uid")
-    names = named.groupBy("component").agg(F.min(order).alias("first")).select(
-        "component", F.col("first.class_id").alias("component_id"),
-        F.col("first.uid").alias("kept_uid"))
-    named = named.join(names, "component").select(
-        F.col("digest"), "class_id", "component_id", "kept_uid",
-        (F.col("n") + F.col("members") - 1).alias("n_links"))
+    named = settle(classes.withColumnRenamed("class_id", "id"), links).join(
+        classes.select("uid", "digest"), "uid").select(
+        "digest", F.col("id").alias("class_id"), "component_id", "kept_uid", "n_links")
     # a set that a third of all rows share: the classes are few rows, the join may be skewed
     out = slim.join(named, "digest", "left")
     return out.select(

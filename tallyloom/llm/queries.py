@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, decontaminate, jaccard, language, packing, secrets
+from . import (archives, decontaminate, importance, jaccard, language, packing, projections,
+               secrets)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +59,17 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary())
 
 
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = projections.near_duplicates(table(spark, folder, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op8_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"),
+                               table(spark, folder, "labels"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archives.round_trip(table(spark, folder, "pages"), spark).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -88,6 +100,8 @@ def llm_queries() -> dict[str, Query]:
         "op2_decontaminate": op2_decontaminate,
         "op3_language_id": op3_language_id,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_embedding_near_dedup": op5_embedding_near_dedup,
+        "op8_importance_resampling": op8_importance_resampling,
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
     }
