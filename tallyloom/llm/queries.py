@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (archives, decontaminate, importance, jaccard, language, packing, projections,
-               secrets)
+               recompression, secrets)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,39 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+         array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS k
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM phrases),
+win AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
+hits AS (SELECT doc_id, i, n, item_id FROM win JOIN phrases USING (n, k)),
+words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     profiles = language.learned(docs)
@@ -65,6 +98,31 @@ def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return recompression.dedup_substrings(table(spark, folder, "documents"))
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+least AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM win JOIN least USING (k) WHERE m < doc_id),
+lists AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, w, coalesce(ps, []) AS ps FROM d LEFT JOIN lists USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(ps) AS BIGINT) AS n_removed,
+       sha256(array_to_string(
+         list_filter(w, lambda x, j: NOT list_contains(ps, j)), ' ')) AS kept_sha256
+FROM kept
+"""
+
+
 def op8_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resample(table(spark, folder, "documents"),
                                table(spark, folder, "labels"))
@@ -101,6 +159,7 @@ def llm_queries() -> dict[str, Query]:
         "op3_language_id": op3_language_id,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_embedding_near_dedup": op5_embedding_near_dedup,
+        "op6_substring_dedup": op6_substring_dedup,
         "op8_importance_resampling": op8_importance_resampling,
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
@@ -109,4 +168,4 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op9_warc": OP9_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op9_warc": OP9_SQL}
