@@ -210,3 +210,15 @@ def third(key: Column) -> Column:
 def learned(documents: DataFrame, key: str = "doc_id") -> Profiles:
     """Profiles from the documents that are not held out."""
     return collect_profiles(train(documents.where(third(F.col(key)) != 1)))
+
+
+def keep_recognised(documents: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
+    """The documents, all columns as they were, without those that no language is found for.
+
+    These are texts without a letter, null ones too, and texts that have no n-gram in common
+    with any profile.
+    """
+    names = documents.columns
+    inner = documents.select(F.col(text).alias("text"),
+                             F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"))
+    return predict(inner, profiles).where("lang_pred <> 'und' and score > 0").select("row.*")

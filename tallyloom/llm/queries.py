@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (archives, decontaminate, importance, jaccard, language, packing, projections,
-               recompression, secrets)
+               recompression, secrets, suffixes)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +123,10 @@ FROM kept
 """
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.dedup_bytes(table(spark, folder, "documents"))
+
+
 def op8_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resample(table(spark, folder, "documents"),
                                table(spark, folder, "labels"))
@@ -160,6 +164,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_embedding_near_dedup": op5_embedding_near_dedup,
         "op6_substring_dedup": op6_substring_dedup,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_importance_resampling": op8_importance_resampling,
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
