@@ -11,12 +11,13 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions.columns import iso_text
-from .operators.unify import first_by
 from .schemas import EVENT_TYPE, MASTER_PIPELINE, SALES_PIPELINE, TRANSACTION_FIELDS
 from .streaming.contract import split, to_raw_events, validate
+from .streaming.sink import first_arrivals
 
 TOPIC = "sales.events"
 BOOK = "MasterData"
@@ -34,18 +35,6 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for the costly steps that follow, if the table comes in fewer pieces.
-
-    The test files have a single row group each, which one task must read. Tables of a
-    real size come in more pieces than there are cores and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def _text(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -58,10 +47,11 @@ def _money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 
 
-def _digest(digits: int, *columns: str) -> Column:
-    """Leading hex digits of an md5 over the columns, as a number."""
-    hexed = F.substring(F.md5(F.concat_ws("|", *[_text(c) for c in columns])), 1, digits)
-    return F.conv(hexed, 16, 10).cast("bigint")
+def _line() -> Column:
+    """An exact number of each line: lines of an order are counted, 1000 at most."""
+    per_order = W.partitionBy("l_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return F.col("l_orderkey") * 1000 + F.row_number().over(per_order)
 
 
 def _lineage(record_id: Column, file: Column | str, row: Column, run: Column | int,
@@ -89,7 +79,7 @@ def _sales_lines(t: Tables) -> DataFrame:
     gross, price = _money("l_extendedprice"), _money("p_retailprice")
     pct = F.col("l_discount").cast("decimal(10,6)")
     lines = (
-        _spread(t.lineitem, "l_orderkey", "l_partkey")
+        t.lineitem.withColumn("line", _line())
         .join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
@@ -116,10 +106,9 @@ def sales(t: Tables) -> DataFrame:
     """RAW sales: one text row per line item, filed by quarter of the order."""
     year, quarter = F.year("o_orderdate"), F.quarter("o_orderdate")
     file = F.concat(F.lit("FactSales_"), _text(year), F.lit("_Q"), _text(quarter), F.lit(".csv"))
-    record = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000000 + F.col("l_suppkey")
     return _sales_lines(t).select(
         *[_text(c).alias(c) for c in TRANSACTION_FIELDS],
-        *_lineage(record, file, F.col("l_linenumber") + 1, year * 10 + quarter,
+        *_lineage(F.col("line"), file, F.col("l_linenumber") + 1, year * 10 + quarter,
                   F.col("l_shipdate")),
     )
 
@@ -226,7 +215,9 @@ def inventory(t: Tables) -> DataFrame:
     opening = F.lit(100) + (F.col("l_suppkey") * 7 + F.col("l_partkey")) % 50
     received = F.lit(20) + (F.col("l_suppkey") + F.col("l_partkey") * 3) % 40
     closing = opening + received - F.col("sold") + F.col("returned")
-    record = _digest(15, "month", "l_suppkey", "l_partkey")
+    months = (F.year("month") * 12 + F.month("month")).cast("bigint")
+    # exact up to ten million suppliers and parts
+    record = (months * 10_000_000 + F.col("l_suppkey")) * 10_000_000 + F.col("l_partkey")
 
     def stock(c: Column) -> Column:
         return F.concat(_text(c), F.lit(".0"))
@@ -245,14 +236,15 @@ def inventory(t: Tables) -> DataFrame:
     )
 
 
-def _message(event: Column, at: Column) -> list[Column]:
-    identity = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "quantity"]
+def _message(event: Column, at: Column, copy: Column | int = 0) -> list[Column]:
+    """A message's position is exact: two places for each line, the second for a copy."""
+    copy = copy if isinstance(copy, Column) else F.lit(copy)
     return [
         F.col("invoice_id").cast("binary").alias("key"),
         event.cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         (F.col("l_orderkey") % 8).cast("int").alias("partition"),
-        _digest(11, *identity).alias("offset"),
+        (F.col("line") * 2 + copy).alias("offset"),
         at.cast("timestamp").alias("timestamp"),
     ]
 
@@ -269,18 +261,23 @@ def _event_json(fields: dict[str, Column], event_type: Column, transaction: Colu
     ))
 
 
-def correction_messages(t: Tables, status: str | None = None) -> DataFrame:
-    """One message per returned line: the sale again, with one unit more. With a line
-    status only the corrections of that status, so that they can arrive one after the
-    other."""
+def correction_messages(t: Tables, finished: bool | None = None) -> DataFrame:
+    """One message per returned line: the sale again, with one unit more. Every second line
+    number is sent twice, the copy behind with yet another unit: a third of all messages are
+    copies that differ. `finished` takes only those of lines that are (not) open, so that they
+    can arrive one after the other."""
     lines = _sales_lines(t).filter("l_returnflag = 'R'")
-    if status:
-        lines = lines.filter(F.col("l_linestatus") == status)
+    if finished is not None:
+        is_open = F.coalesce(F.col("l_linestatus") == "O", F.lit(False))
+        lines = lines.filter(~is_open if finished else is_open)
+    copies = F.when(F.col("l_linenumber") % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0)))
+    lines = lines.withColumn("copy", F.explode(copies))
     fields = {c: _text(c) for c in TRANSACTION_FIELDS}
-    fields["quantity"] = _text(F.col("quantity") + 1)
+    fields["quantity"] = _text(F.col("quantity") + 1 + F.col("copy"))
     transaction = F.struct(*[v.alias(k) for k, v in fields.items()])
     event = _event_json(fields, F.lit(EVENT_TYPE), transaction)
-    return lines.select(*_message(event, F.col("l_shipdate")))
+    return lines.select(*_message(event, F.col("l_shipdate"), F.col("copy")))
 
 
 def defective_messages(t: Tables) -> DataFrame:
@@ -342,7 +339,7 @@ def envelope_messages(t: Tables) -> DataFrame:
         _id("EV", "event_id").alias("event_id"), kind.alias("event_type"),
         F.concat(iso_text(F.col("ts")), F.lit("+00:00")).alias("event_timestamp"),
         F.lit("web").alias("source"), tx.alias("transaction")))
-    return _spread(t.events, "event_id").select(
+    return t.events.select(
         _text("user_id").cast("binary").alias("key"),
         event.cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
@@ -352,26 +349,13 @@ def envelope_messages(t: Tables) -> DataFrame:
     )
 
 
-def first_events(valid: DataFrame) -> DataFrame:
-    """First arrival of every event id."""
-    return first_by(valid, ["event_id"], [F.col("topic"), F.col("partition"), F.col("offset")])
-
-
 def sales_events(t: Tables) -> DataFrame:
     """RAW events: the corrections after contract and duplicate removal."""
     valid, _ = split(validate(correction_messages(t)))
-    stored = to_raw_events(first_events(valid))
+    stored = to_raw_events(first_arrivals(valid))
     return stored.withColumn("ingested_at", F.col("event_timestamp"))
 
 
-def calendar_days(t: Tables) -> DataFrame:
-    """The dates that bound the calendar: order dates, order months, shipping months."""
-    dates = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    return dates.select(F.explode(F.array(
-        F.col("o_orderdate").cast("date"), F.trunc("o_orderdate", "MM"),
-        F.trunc("l_shipdate", "MM"))).alias("day"))
-
-
 def sources(t: Tables) -> dict[str, Callable[[], DataFrame]]:
     """Every RAW input of the model graph, built when it is asked for."""
     inputs = (sales, product, distributor, salesperson, outlet, target, inventory,
@@ -449,6 +433,7 @@ def state_log(t: Tables) -> DataFrame:
 def observed_files(t: Tables) -> DataFrame:
     """Each customer's file as found now; customers of one segment have lost theirs."""
     return t.customer.filter("c_mktsegment != 'BUILDING'").select(
+        F.lit(SALES_PIPELINE).alias("pipeline_name"),
         F.concat(F.lit("FactSales_"), _text("c_custkey"), F.lit(".csv")).alias("source_name"),
         F.md5(F.concat_ws("|", _text("c_custkey"), F.lit("1998"))).alias("sha256"),
         (F.col("c_custkey") + 2000).alias("size_bytes"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,16 @@ def profile_files(fingerprints: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: sheets that describe the others.
+DOCUMENTATION = {"README"}
+
+
+def profile_entities(tables: dict[str, DataFrame]) -> DataFrame:
+    """The profiles of all entities by sheet name; documentation sheets are left out."""
+    chosen = {n: df for n, df in tables.items() if n.strip().upper() not in DOCUMENTATION}
+    return reduce(DataFrame.unionByName, [profile_entity(df, n) for n, df in chosen.items()])
+
+
 def profile_entity(df: DataFrame, name: str) -> DataFrame:
     """Rows, columns and field names of an entity without its empty rows and columns."""
     filled = df.na.drop(how="all")

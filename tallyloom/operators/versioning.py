@@ -62,15 +62,13 @@ def seed_state(runs: DataFrame) -> DataFrame:
                          F.col("source_hash").alias("active_source_hash"))
 
 
-FEW_VERSIONS = 1000
-
-
 def current_raw(raw: DataFrame, state: DataFrame, pipeline: str,
                 source_name: str | None = None) -> DataFrame:
     """RAW rows of the active versions; of one source only if it is named.
 
     The state is one row per file; Spark broadcasts it if it is small and then prunes the
-    pipeline_run_id folders while reading, and shuffles the join if it is not.
+    pipeline_run_id folders while reading, and shuffles the join if it is not. Take `state`
+    once for all tables of a run, so that they show the same versions.
     """
     chosen = state.filter(F.col("pipeline_name") == pipeline)
     if source_name is not None:
@@ -79,29 +77,18 @@ def current_raw(raw: DataFrame, state: DataFrame, pipeline: str,
     return raw.join(active, "pipeline_run_id", "inner").select(*raw.columns)
 
 
-def pinned_raw(raw: DataFrame, state: DataFrame, pipeline: str,
-               source_name: str | None = None) -> DataFrame:
-    """current_raw as of now: up to a thousand active versions become a plain filter on
-    the folders, so that every later read prunes them when it is planned."""
-    chosen = state.filter(F.col("pipeline_name") == pipeline)
-    if source_name is not None:
-        chosen = chosen.filter(F.col("source_name") == source_name)
-    runs = [r[0] for r in chosen.select("active_run_id").limit(FEW_VERSIONS + 1).collect()]
-    if len(runs) > FEW_VERSIONS:
-        return current_raw(raw, state, pipeline, source_name)
-    return raw.filter(F.col("pipeline_run_id").isin(runs))
-
-
 def backfill(runs: DataFrame, files: DataFrame) -> DataFrame:
-    """Successful runs without a hash, with the fingerprint their file has now.
+    """Successful runs without a hash, with the fingerprint their file has now, by run id.
 
-    decision is UPDATE, or SKIP where the file is gone.
+    `files` names the pipeline that takes each file. decision is UPDATE, or SKIP where the
+    file is gone.
     """
     unhashed = runs.filter((F.col("status") == "SUCCESS") & F.col("source_hash").isNull())
-    found = files.select("source_name", "sha256", "size_bytes", "modified_at")
-    return unhashed.select("run_id", *SOURCE).join(found, "source_name", "left").select(
+    found = files.select(*SOURCE, "sha256", "size_bytes", "modified_at")
+    return unhashed.select("run_id", *SOURCE).join(found, SOURCE, "left").select(
         "run_id", *SOURCE, "sha256", "size_bytes", "modified_at",
-        F.when(F.col("sha256").isNull(), "SKIP").otherwise("UPDATE").alias("decision"))
+        F.when(F.col("sha256").isNull(), "SKIP").otherwise("UPDATE").alias("decision")
+    ).orderBy("run_id")
 
 
 def unknown_runs(df: DataFrame, runs: DataFrame, column: str = "pipeline_run_id") -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .operators.quality import (GRAINS, NOT_NULL, RELATIONSHIPS, SAME_COUNT, UNIQUE)
-from .schemas import (EVENT_FIELDS, EVENT_TYPE, MASTER_PIPELINE, NON_NEGATIVE_FIELDS,
+from .schemas import (ENTITIES, EVENT_FIELDS, EVENT_TYPE, MASTER_PIPELINE, NON_NEGATIVE_FIELDS,
                       NUMERIC_FIELDS, SALES_PIPELINE, TRANSACTION_FIELDS)
 
 # Common table expressions in dependency order; DuckDB runs only the ones a query uses.
@@ -15,7 +15,9 @@ SELECT l.*, o_custkey, c_nationkey, o_orderdate,
        CAST(l_quantity AS INTEGER) AS quantity,
        CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price,
        CAST(l_discount AS DECIMAL(10,6)) AS discount_pct,
-       CAST(l_extendedprice AS DECIMAL(18,2)) AS gross_sales
+       CAST(l_extendedprice AS DECIMAL(18,2)) AS gross_sales,
+       l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey
+         ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS line
 FROM lineitem l
 JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey
@@ -33,8 +35,7 @@ SELECT *, CAST(gross_sales - discount_amount AS DECIMAL(18,2)) AS net_sales,
        'OUT' || o_custkey AS outlet_id, 'P' || l_partkey AS product_id,
        'INV' || l_orderkey AS invoice_id,
        CAST(l_orderkey % 8 AS INTEGER) AS kafka_partition,
-       CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey,
-            l_suppkey, quantity)), 1, 11) AS BIGINT) AS kafka_offset
+       CAST(line * 2 AS BIGINT) AS kafka_offset
 FROM priced"""
 
 _MONEY = ("unit_price, discount_pct, discount_amount, gross_sales, net_sales, "
@@ -43,7 +44,7 @@ _IDS = "distributor_id, salesperson_id, outlet_id, product_id, invoice_id"
 
 CTES["stg_sales"] = f"""
 SELECT sales_date, {_IDS}, quantity, {_MONEY},
-       CAST((l_orderkey * 8 + l_linenumber) * 1000000 + l_suppkey AS BIGINT) AS raw_record_id,
+       CAST(line AS BIGINT) AS raw_record_id,
        'FactSales_' || year(sales_date) || '_Q' || quarter(sales_date) || '.csv'
          AS source_file,
        CAST(l_linenumber + 1 AS BIGINT) AS source_row_number,
@@ -126,25 +127,35 @@ SELECT month_start, 'DST' || l_suppkey AS distributor_id, 'P' || l_partkey AS pr
        CAST(opening + received - sold + returned AS INTEGER) AS closing_stock,
        CAST((opening + received - sold + returned) * CAST(12.5 AS DECIMAL(3,1))
             AS DECIMAL(18,2)) AS stock_value,
-       CAST('0x' || substr(md5(concat_ws('|', CAST(month_start AS VARCHAR), l_suppkey,
-            l_partkey)), 1, 15) AS BIGINT) AS raw_record_id,
+       CAST(((year(month_start) * 12 + month(month_start)) * 10000000 + l_suppkey) * 10000000
+            + l_partkey AS BIGINT) AS raw_record_id,
        'MasterData.csv' AS source_file, 'FactInventory' AS source_sheet,
        CAST(2 AS BIGINT) AS source_row_number, CAST(6 AS BIGINT) AS pipeline_run_id,
        TIMESTAMP '2024-01-01 00:00:00' AS ingested_at
 FROM stock"""
 
+CTES["corrections"] = """
+SELECT * EXCLUDE (quantity, kafka_offset),
+       'E' || l_orderkey || '-' || l_partkey AS event_id,
+       CAST(quantity + 1 + copy AS INTEGER) AS quantity, kafka_offset + copy AS kafka_offset
+FROM sold, (SELECT 0 AS copy UNION ALL SELECT 1)
+WHERE l_returnflag = 'R' AND (copy = 0 OR l_linenumber % 2 = 0)"""
+
+CTES["first_copies"] = """
+SELECT event_id, quantity, kafka_partition, kafka_offset FROM corrections WHERE copy = 0
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_partition, kafka_offset) = 1"""
+
 CTES["stg_sales_streaming"] = f"""
 SELECT CAST(kafka_partition AS BIGINT) * 17592186044416 + kafka_offset
          AS streaming_record_id,
-       'E' || l_orderkey || '-' || l_partkey AS event_id, '{EVENT_TYPE}' AS event_type,
+       event_id, '{EVENT_TYPE}' AS event_type,
        CAST(l_shipdate AS TIMESTAMP) AS event_timestamp, 'till' AS source,
        'corrections.csv' AS source_file, sales_date, {_IDS},
-       CAST(quantity + 1 AS INTEGER) AS quantity, {_MONEY},
+       quantity, {_MONEY},
        'sales.events' AS kafka_topic, kafka_partition, kafka_offset,
        CAST(l_shipdate AS TIMESTAMP) AS ingested_at
-FROM sold WHERE l_returnflag = 'R'
-QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey
-                           ORDER BY kafka_partition, kafka_offset) = 1"""
+FROM corrections
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_partition, kafka_offset) = 1"""
 
 _BUSINESS = f"sales_date, {_IDS}, quantity, {_MONEY}"
 
@@ -268,8 +279,8 @@ FROM runs WHERE status = 'SUCCESS' AND source_hash IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY pipeline_name, source_name
                            ORDER BY run_id DESC) = 1"""
 
-CTES["found"] = """
-SELECT 'FactSales_' || c_custkey || '.csv' AS source_name, md5(c_custkey || '|1998') AS sha256,
+CTES["found"] = f"""
+SELECT '{SALES_PIPELINE}' AS pipeline_name, 'FactSales_' || c_custkey || '.csv' AS source_name, md5(c_custkey || '|1998') AS sha256,
        c_custkey + 2000 AS size_bytes, TIMESTAMP '2024-01-01 00:00:00' AS modified_at
 FROM customer WHERE c_mktsegment <> 'BUILDING'"""
 
@@ -422,6 +433,19 @@ _RAW_TEXT = ", ".join(
     for c in TRANSACTION_FIELDS)
 
 
+def _profiles_sql() -> str:
+    """Rows and the columns that have values, of each entity's staging table."""
+    parts = []
+    for sheet, feed in ENTITIES.items():
+        filled = ", ".join(f"CASE WHEN count({feed.renamed.get(c, c)}) > 0 THEN '{c}' END"
+                           for c in feed.raw_columns)
+        parts.append(
+            f"SELECT '{sheet}' AS entity, n AS \"rows\", CAST(len(f) AS INTEGER) AS column_count, "
+            f"array_to_string(f, ', ') AS fields FROM (SELECT count(*) AS n, "
+            f"list_filter([{filled}], lambda x: x IS NOT NULL) AS f FROM stg_{feed.table})")
+    return "\nUNION ALL ".join(parts)
+
+
 def _count_line(line: str, raw: str | None, staged: str | None, final: str | None) -> str:
     cells = [f"CAST({c or 'NULL'} AS BIGINT) AS {a}" for c, a in (
         (raw, "raw_rows"), (staged, "staging_rows"), (final, "warehouse_rows"))]
@@ -454,17 +478,18 @@ def all_sql() -> dict[str, str]:
               ORDER BY finished_at DESC NULLS LAST, run_id DESC) = 1""",
         "active_state": "SELECT * FROM active",
         "skip_decisions": f"""
-            SELECT f.source_name, f.sha256, f.size_bytes, f.modified_at,
+            SELECT f.pipeline_name, f.source_name, f.sha256, f.size_bytes, f.modified_at,
                    max(r.run_id) AS known_run,
                    CASE WHEN max(r.run_id) IS NULL THEN 'LOAD' ELSE 'SKIP' END AS decision
             FROM found f LEFT JOIN runs r ON r.source_name = f.source_name
               AND r.source_hash = f.sha256 AND r.status = 'SUCCESS'
               AND r.pipeline_name = '{SALES_PIPELINE}'
-            GROUP BY 1, 2, 3, 4""",
+            GROUP BY 1, 2, 3, 4, 5""",
         "backfill_runs": """
-            SELECT run_id, pipeline_name, r.source_name, sha256, size_bytes, modified_at,
+            SELECT run_id, r.pipeline_name, r.source_name, sha256, size_bytes, modified_at,
                    CASE WHEN sha256 IS NULL THEN 'SKIP' ELSE 'UPDATE' END AS decision
             FROM runs r LEFT JOIN found f ON r.source_name = f.source_name
+              AND r.pipeline_name = f.pipeline_name
             WHERE status = 'SUCCESS' AND source_hash IS NULL""",
         "current_raw_sales": f"""
             SELECT invoice_id, product_id, CAST(gross_sales AS VARCHAR) AS gross_sales,
@@ -483,18 +508,34 @@ def all_sql() -> dict[str, str]:
             SELECT kafka_offset AS "offset", payload, error_type, error_message
             FROM enveloped""",
         "dlq_events": """
-            SELECT 'sales-sink' AS consumer_group, 'sales.events' AS source_topic,
+            SELECT CAST(CAST(md5('sales.events/0/' || kafka_offset) AS UUID) AS VARCHAR)
+                     AS dlq_event_id,
+                   'sales-sink' AS consumer_group, 'sales.events' AS source_topic,
                    0 AS source_partition, kafka_offset AS source_offset, error_type,
                    error_message, original_key, payload AS original_payload
             FROM enveloped WHERE error_type IS NOT NULL""",
         "dedup_events": """
             SELECT event_id, kafka_topic, kafka_partition, kafka_offset
             FROM stg_sales_streaming""",
-        "event_sink_state": "SELECT event_id, invoice_id, product_id FROM stg_sales_streaming",
-        "event_sink_index": f"""
-            SELECT event_id, quantity + 1 AS quantity, kafka_partition, kafka_offset
-            FROM (SELECT *, 'E' || l_orderkey || '-' || l_partkey AS event_id
-                  FROM sold WHERE l_returnflag = 'R')
+        "event_sink_state": """
+            SELECT event_id, quantity, kafka_partition, kafka_offset
+            FROM stg_sales_streaming""",
+        "event_sink_index": """
+            SELECT event_id, quantity, kafka_partition, kafka_offset FROM corrections
+            QUALIFY row_number() OVER (PARTITION BY event_id
+              ORDER BY l_linestatus DESC, kafka_partition, kafka_offset) = 1""",
+        "event_sink_positions": """
+            SELECT * FROM first_copies UNION ALL
+            SELECT * FROM (
+              SELECT event_id || '-b' AS event_id, quantity, kafka_partition,
+                     kafka_offset - 1 AS kafka_offset
+              FROM corrections WHERE copy = 1) r
+            WHERE NOT EXISTS (SELECT 1 FROM first_copies f
+              WHERE f.kafka_partition = r.kafka_partition AND f.kafka_offset = r.kafka_offset)
+            QUALIFY row_number() OVER (PARTITION BY event_id
+              ORDER BY kafka_partition, kafka_offset) = 1""",
+        "event_sink_new_checkpoint": """
+            SELECT event_id, quantity, kafka_partition, kafka_offset FROM corrections
             QUALIFY row_number() OVER (PARTITION BY event_id
               ORDER BY l_linestatus DESC, kafka_partition, kafka_offset) = 1""",
         "stream_counters": """
@@ -552,11 +593,13 @@ def all_sql() -> dict[str, str]:
             SELECT *, 'SUCCESS' AS validation_status, '{_DONE}' AS validation_message
             FROM (SELECT {_LAYER_COUNTS})""",
         "count_report": f"SELECT * FROM (WITH c AS (SELECT {_LAYER_COUNTS}) {report})",
-        "profile_entities": """
-            SELECT 'DimProduct' AS entity, (SELECT count(*) FROM stg_product) AS "rows",
-                   7 AS column_count, 'product_id, category, brand, product_name, pack_size, unit_price, unit_cogs' AS fields
-            UNION ALL SELECT 'DimOutlet', (SELECT count(*) FROM stg_outlet), 10,
-                   'outlet_id, outlet_name, channel, outlet_tier, distributor_id, salesperson_id, city, province, region, open_year'""",
+        "profile_entities": _profiles_sql(),
+        "gross_margin": """
+            SELECT md5('sales|' || invoice_id || '|' || product_id) AS sales_key,
+                   CASE WHEN net_sales <> 0 THEN CAST(floor(
+                     CAST((net_sales - total_cogs) * 1000000 AS DOUBLE)
+                     / CAST(net_sales AS DOUBLE)) AS BIGINT) END AS margin_millionths
+            FROM stg_sales_unified""",
         "profile_files": """
             SELECT count(*) AS "rows", 14 AS column_count, true AS same_schema
             FROM lineitem""",

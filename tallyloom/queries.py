@@ -9,19 +9,18 @@ from pyspark.sql import functions as F
 
 from . import bindings as b
 from .operators import profiling, quality, reconcile, versioning
-from .operators.dimensions import dim_date
 from .operators.staging import EVENT_PAYLOAD_SCHEMA, stage_events
 from .plans.ingest import load_files, sales_files
 from .plans.jobs import build
 from .plans.models import MARTS, STAGING, Models
-from .schemas import FEEDS, SALES_PIPELINE, TRANSACTION_FIELDS
+from .schemas import ENTITIES, FEEDS, SALES_PIPELINE, TRANSACTION_FIELDS
 from .session import configure, work_dir
 from .sources.events import read_events, sales_to_events
 from .sources.files import file_rows, fingerprint
 from .sources.layers import Lake
 from .sources.ledger import Ledger
-from .streaming.contract import split, to_dlq, validate
-from .streaming.sink import raw_events, run_available
+from .streaming.contract import split, to_dlq, validate, with_decoder_text
+from .streaming.sink import compact_index, raw_events, run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,19 +29,22 @@ def _tables(spark: SparkSession, folder: str) -> b.Tables:
     return b.Tables(configure(spark), folder)
 
 
-def models(spark: SparkSession, folder: str, cheap_calendar: bool = True) -> Models:
-    """The model graph over the bound tables. Margins divide as double, as the SQL does.
-
-    The calendar's bounds come straight from the date columns unless dim_date itself is
-    asked for: the dates are the same and no aggregated input is computed for them.
-    """
-    t = _tables(spark, folder)
-    given = {"dim_date": dim_date([(b.calendar_days(t), "day")])} if cheap_calendar else {}
-    return Models(b.sources(t), given, exact_margin=False)
+def models(spark: SparkSession, folder: str, exact_margin: bool = False) -> Models:
+    """The model graph over the bound tables. Margins divide as double, as the SQL does,
+    unless the exact quotient is asked for."""
+    return Models(b.sources(_tables(spark, folder)), exact_margin=exact_margin)
 
 
 def _model(name: str) -> Query:
-    return lambda spark, folder: models(spark, folder, name != "dim_date").ref(name)
+    return lambda spark, folder: models(spark, folder).ref(name)
+
+
+def _gross_margin(spark: SparkSession, folder: str) -> DataFrame:
+    """The production quotient of decimals, cut to whole millionths."""
+    margin = F.col("gross_margin_pct").cast("decimal(30,19)")
+    return models(spark, folder, exact_margin=True).ref("fact_sales").select(
+        "sales_key", F.floor(margin * F.lit(1_000_000).cast("decimal(7,0)")).cast("bigint")
+        .alias("margin_millionths"))
 
 
 def _over_tables(fn: Callable[[b.Tables], DataFrame]) -> Query:
@@ -69,7 +71,7 @@ def _event_contract_mixed(t: b.Tables) -> DataFrame:
 
 def _dlq_events(t: b.Tables) -> DataFrame:
     _, invalid = split(validate(b.envelope_messages(t)))
-    return to_dlq(invalid, "sales-sink").drop("dlq_event_id", "failed_at")
+    return to_dlq(with_decoder_text(invalid), "sales-sink").drop("failed_at")
 
 
 def _dedup_events(t: b.Tables) -> DataFrame:
@@ -77,32 +79,74 @@ def _dedup_events(t: b.Tables) -> DataFrame:
         "event_id", "kafka_topic", "kafka_partition", "kafka_offset")
 
 
-def _sink(t: b.Tables, dedup: str) -> DataFrame:
-    """Open lines arrive first, finished ones in a second run of the stream."""
-    lake = Lake(t.spark, work_dir(t.spark, "lake"))
-    inbox, state = lake.path("landing", "messages"), lake.path("checkpoints", "events")
-    for status in ("O", "F"):
-        b.correction_messages(t, status).write.mode("append").parquet(inbox)
-        run_available(read_events(t.spark, folder=inbox), lake, state, "sales-sink",
-                      dedup=dedup)
-    return raw_events(lake)
+_STORED = ["event_id", "quantity", "kafka_partition", "kafka_offset"]
+
+
+class _Inbox:
+    """Message files that stand in for a topic, and a lake that a stream fills from them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.lake = spark, Lake(spark, work_dir(spark, "lake"))
+        self.folder = self.lake.path("landing", "messages")
+
+    def send(self, messages: DataFrame) -> _Inbox:
+        messages.write.mode("append").parquet(self.folder)
+        return self
+
+    def run(self, checkpoint: str = "events", files_per_trigger: int | None = None,
+            **options) -> DataFrame:
+        stream = read_events(self.spark, folder=self.folder, limit_per_trigger=files_per_trigger)
+        return run_available(stream, self.lake, self.lake.path("checkpoints", checkpoint),
+                             "sales-sink", **options)
+
+    def stored(self) -> DataFrame:
+        return stage_events(raw_events(self.lake)).select(*_STORED)
 
 
 def _sink_state(t: b.Tables) -> DataFrame:
-    return stage_events(_sink(t, "state")).select("event_id", "invoice_id", "product_id")
+    """All corrections in one run: of an event's copies the first one stays."""
+    inbox = _Inbox(t.spark).send(b.correction_messages(t))
+    inbox.run()
+    return inbox.stored()
 
 
 def _sink_index(t: b.Tables) -> DataFrame:
-    return stage_events(_sink(t, "index")).select(
-        "event_id", "quantity", "kafka_partition", "kafka_offset")
+    """Open lines arrive first, all others in a second run: what is stored stays."""
+    inbox = _Inbox(t.spark)
+    for finished in (False, True):
+        inbox.send(b.correction_messages(t, finished)).run()
+    return inbox.stored()
+
+
+def _sink_positions(t: b.Tables) -> DataFrame:
+    """A second run brings other events at the positions of stored ones."""
+    messages = b.correction_messages(t)
+    first = F.col("offset") % 2 == 0
+    inbox = _Inbox(t.spark).send(messages.filter(first))
+    inbox.run()
+    renamed = F.regexp_replace(F.col("value").cast("string"),
+                               '"event_id":"([^"]*)"', '"event_id":"$1-b"')
+    inbox.send(messages.filter(~first).withColumn("value", renamed.cast("binary")).withColumn(
+        "offset", F.col("offset") - 1)).run()
+    return inbox.stored()
+
+
+def _sink_new_checkpoint(t: b.Tables) -> DataFrame:
+    """The stream starts anew, without its checkpoint, after the open lines: they come again
+    with all others, from the start of the topic. The index is compacted in between."""
+    inbox = _Inbox(t.spark).send(b.correction_messages(t, False))
+    inbox.run()
+    compact_index(inbox.lake)
+    inbox.send(b.correction_messages(t, True)).run("anew")
+    return inbox.stored()
 
 
 def _stream_counters(t: b.Tables) -> DataFrame:
-    lake = Lake(t.spark, work_dir(t.spark, "lake"))
-    inbox = lake.path("landing", "messages")
-    b.defective_messages(t).write.parquet(inbox)
-    batches = run_available(read_events(t.spark, folder=inbox), lake,
-                            lake.path("checkpoints", "events"), "sales-sink")
+    """Four triggers, and a run that ends after the first of them."""
+    inbox = _Inbox(t.spark)
+    inbox.send(b.defective_messages(t).repartition(4, "offset"))
+    inbox.run(files_per_trigger=1, batches=1)
+    batches = inbox.run(files_per_trigger=1)
     return batches.agg(*[F.sum(c).alias(c) for c in (
         "processed", "inserted", "duplicates", "dead_letters")])
 
@@ -158,11 +202,13 @@ def _profile_files(t: b.Tables) -> DataFrame:
 
 
 def _profile_entities(t: b.Tables) -> DataFrame:
-    def entity(raw: DataFrame, table: str) -> DataFrame:
-        cells = [F.nullif(F.trim(c), F.lit("")).alias(c) for c in FEEDS[table].raw_columns]
-        return profiling.profile_entity(raw.select(*cells), FEEDS[table].sheet)
-
-    return entity(b.product(t), "product").unionByName(entity(b.outlet(t), "outlet"))
+    """All six entities, and a documentation sheet that is left out."""
+    tables = {}
+    for sheet, feed in ENTITIES.items():
+        raw = b.sources(t)[feed.table]()
+        tables[sheet] = raw.select(*[F.nullif(F.trim(c), F.lit("")).alias(c)
+                                     for c in feed.raw_columns])
+    return profiling.profile_entities({" Readme ": t.region, **tables})
 
 
 def _orphans(m: Models) -> DataFrame:
@@ -186,6 +232,7 @@ def _counts(m: Models) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         **{name: _model(name) for name in STAGING + MARTS},
+        "gross_margin": _gross_margin,
         "run_ledger": _over_tables(_runs),
         "latest_versions": _over_tables(lambda t: versioning.latest_versions(_runs(t))),
         "seed_active": _over_tables(lambda t: versioning.seed_state(_runs(t))),
@@ -204,6 +251,8 @@ def all_queries() -> dict[str, Query]:
         "dedup_events": _over_tables(_dedup_events),
         "event_sink_state": _over_tables(_sink_state),
         "event_sink_index": _over_tables(_sink_index),
+        "event_sink_positions": _over_tables(_sink_positions),
+        "event_sink_new_checkpoint": _over_tables(_sink_new_checkpoint),
         "stream_counters": _over_tables(_stream_counters),
         "sales_to_events": _over_tables(_sales_to_events),
         "ingest_sales": _over_tables(_ingest_sales),

@@ -23,11 +23,7 @@ ADAPTIVE = {
 }
 
 STREAM_STATE = {
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",  # kept for record_progress
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -60,10 +56,13 @@ _local_base: list[str] = []
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only where that setting is absent (single-machine tests) a local folder is made.
+    Where that setting is absent it is an error, except on a local master: there one process
+    does all the work, and a folder of its own will do.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         if not _local_base:
             _local_base.append(tempfile.mkdtemp(prefix="tallyloom-"))
         base = _local_base[0]

@@ -101,12 +101,14 @@ def check_columns(received: list[str] | None, expected: list[str]) -> None:
 
 
 def _canonical(field: T.StructField) -> Column:
-    """A typed cell as text: timestamps in ISO form, floats without exponent."""
+    """A typed cell as text: timestamps in ISO form, floats without exponent and without
+    a fraction that is zero, as whole numbers of a sheet are stored."""
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
         return iso_text(c)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return c.cast("decimal(38,10)").cast("string")
+        text = c.cast("decimal(38,10)").cast("string")
+        return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
     return c.cast("string")
 
 

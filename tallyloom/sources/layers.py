@@ -37,10 +37,10 @@ class Lake:
     def log(self, name: str, schema: str) -> DataFrame:
         return self.read("metadata", name, schema)
 
-    def write_partitions(self, df: DataFrame, layer: str, name: str, column: str) -> None:
+    def write_partitions(self, df: DataFrame, layer: str, name: str, *columns: str) -> None:
         """Write rows by partition; partitions that are written again are replaced."""
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(column).parquet(self.path(layer, name)))
+         .partitionBy(*columns).parquet(self.path(layer, name)))
 
     def publish(self, df: DataFrame, name: str) -> DataFrame:
         """Write a new build of a mart, then point to it. Earlier builds stay readable."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.versioning import active_state, backfill, current_runs
+from ..operators.versioning import active_state, backfill, current_runs, seed_state
 from ..schemas import RUN_LOG_SCHEMA, STATE_LOG_SCHEMA
 from .layers import Lake
 
@@ -72,10 +72,26 @@ class Ledger:
         self.lake.append_log(
             "source_state", df.withColumn("last_observed_at", F.current_timestamp()))
 
+    def seed(self) -> DataFrame:
+        """Make the latest hashed successful run of every source its active version; sources
+        without one stay as they are. Returns the state."""
+        log = self.state_log()
+        seq = log.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
+        kept = self.lake.path("metadata", "seeded_state")
+        rows = seed_state(self.runs()).withColumn(
+            "last_observed_at", F.current_timestamp()).withColumn(
+            "seq", F.lit(seq).cast("bigint"))
+        names = T.StructType.fromDDL(STATE_LOG_SCHEMA).names
+        # written out first: the log must not be read while it is appended to
+        rows.select(*names).write.mode("overwrite").parquet(kept)
+        self.lake.append_log("source_state", self.spark.read.parquet(kept))
+        return self.state()
+
     def backfill(self, files: DataFrame) -> DataFrame:
         """Give successful runs without a hash the fingerprint of their file now.
 
-        `files` needs source_name, sha256, size_bytes, modified_at. Returns the report.
+        `files` needs pipeline_name, source_name, sha256, size_bytes, modified_at. Returns the
+        report.
         """
         schema = T.StructType.fromDDL(RUN_LOG_SCHEMA)
         # written out, because the entries appended below change what it is read from

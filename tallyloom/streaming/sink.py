@@ -1,21 +1,22 @@
 """The event stream job: contract, duplicate removal, RAW events and dead letters.
 
-Duplicates are recognised for ever, across restarts. Two exact ways:
-
-* "state" (default): streaming dropDuplicates, whose RocksDB state is looked up per event;
-  the cost of a trigger grows with its events, not with the history. Repetitions within a
-  trigger are thinned first per (event, salt), so an event id that makes up a large part
-  of the traffic is spread over several tasks before its last copy meets the state.
-* "index": an anti join with the ids stored so far. Deterministic (lowest position wins)
-  and without state, but every trigger reads all stored ids; for short histories.
-
-Outputs are Parquet partitions by batch_id that a repeated batch replaces, and the
-checkpoint advances after they are written: no event is lost, none is stored twice.
+An event is stored once for ever: no second event with its id, none with its position, and of
+several copies the first arrival (the lowest position) stays. A batch is ranked first, then
+anti-joined with an index of all ids and positions stored so far. The index is slim (a text
+key), lies in hash buckets of which a batch reads only those its own keys fall into, and is
+shared by all streams that write to the lake, whichever checkpoint they have.
+
+Outputs are Parquet partitions by stream and batch: a repeated batch replaces itself, and a
+new checkpoint starts a new stream, so it never touches what others have stored. Counters are
+written with each batch. Streams of one lake take turns; two batches at the same time could
+both store an event.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,23 +29,35 @@ RAW_EVENTS_SCHEMA = (
     "streaming_record_id bigint, event_id string, event_type string, "
     "event_timestamp timestamp, source string, source_file string, payload string, "
     "kafka_topic string, kafka_partition int, kafka_offset bigint, "
-    "ingested_at timestamp, batch_id bigint"
+    "ingested_at timestamp, stream_id string, batch_id bigint"
 )
 DLQ_SCHEMA = (
     "dlq_event_id string, failed_at timestamp, consumer_group string, "
     "source_topic string, source_partition int, source_offset bigint, "
     "error_type string, error_message string, original_key string, "
-    "original_payload string, batch_id bigint"
+    "original_payload string, stream_id string, batch_id bigint"
 )
 METRICS_SCHEMA = (
-    "batch_id bigint, processed bigint, inserted bigint, duplicates bigint, "
-    "dead_letters bigint, recorded_at timestamp"
+    "stream_id string, batch_id bigint, processed bigint, inserted bigint, "
+    "duplicates bigint, dead_letters bigint, recorded_at timestamp"
 )
+INDEX_SCHEMA = "key string, bucket int, stream_id string, batch_id bigint"
+COMPACTED_SCHEMA = "build bigint, stream_id string, batch_id bigint"
 
 EVENTS, DEAD, METRICS = "sales_events", "sales_dead_letters", "stream_batches"
+INDEX, COMPACTED = "sales_event_index", "sales_event_index_builds"
+BATCH = ["stream_id", "batch_id"]
+
+#: Part of the index's layout: changing it needs a new index.
+INDEX_BUCKETS = 64
+
+
+class EnoughBatches(Exception):
+    """Ends a run that was asked for a number of batches; the next batch is not touched."""
 
 
 def raw_events(lake: Lake) -> DataFrame:
+    """All stored events. The files are listed once, here: later batches don't show."""
     return lake.read("raw", EVENTS, RAW_EVENTS_SCHEMA)
 
 
@@ -53,9 +66,9 @@ def dead_letters(lake: Lake) -> DataFrame:
 
 
 def stream_batches(lake: Lake) -> DataFrame:
-    """Counters per batch: processed, inserted, duplicates, dead letters."""
+    """Counters per stream and batch: processed, inserted, duplicates, dead letters."""
     log = lake.log(METRICS, METRICS_SCHEMA)
-    return first_by(log, ["batch_id"], [F.col("recorded_at").desc()])
+    return first_by(log, BATCH, [F.col("recorded_at").desc()])
 
 
 def first_arrivals(valid: DataFrame) -> DataFrame:
@@ -65,96 +78,139 @@ def first_arrivals(valid: DataFrame) -> DataFrame:
     return first_by(once, ["event_id"], position)
 
 
-def not_stored(fresh: DataFrame, stored: DataFrame) -> DataFrame:
-    """Events whose id and position are not in the RAW events yet."""
-    known_ids = stored.select("event_id")
-    known_positions = stored.select(F.col("kafka_topic").alias("topic"),
-                                    F.col("kafka_partition").alias("partition"),
-                                    F.col("kafka_offset").alias("offset"))
-    return (fresh.join(known_ids, "event_id", "left_anti")
-            .join(known_positions, ["topic", "partition", "offset"], "left_anti"))
-
-
-def _without_repeats(checked: DataFrame, salts: int) -> DataFrame:
-    """Drop what the stream has seen before: valid events by id, others by position."""
-    valid = F.col("error_type").isNull()
-    keyed = checked.withColumn("dedup_key", F.when(valid, F.concat(F.lit("e"), "event_id"))
-                               .otherwise(F.concat(F.lit("p"), position_text())))
-    if salts > 1:
-        # The watermark is the trigger's own clock, so this state is dropped after each
-        # trigger and no event ever counts as late.
-        keyed = (
-            keyed.withColumn("arrived_at", F.current_timestamp())
-            .withWatermark("arrived_at", "0 seconds")
-            .withColumn("salt", F.pmod(F.xxhash64("partition", "offset"), F.lit(salts)))
-            .dropDuplicatesWithinWatermark(["dedup_key", "salt"])
-            .drop("arrived_at", "salt"))
-    return keyed.dropDuplicates(["dedup_key"]).drop("dedup_key")
+def _id_key() -> Column:
+    return F.concat(F.lit("e"), "event_id")
+
+
+def _position_key() -> Column:
+    return F.concat(F.lit("p"), position_text())
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(INDEX_BUCKETS)).cast("int")
+
+
+def index_entries(events: DataFrame) -> DataFrame:
+    """(key, bucket): the id and the position of every event."""
+    keys = events.select(F.explode(F.array(_id_key(), _position_key())).alias("key"))
+    return keys.withColumn("bucket", _bucket(F.col("key")))
+
+
+def _index(lake: Lake) -> DataFrame:
+    """The index: the last compacted build and the batches after it."""
+    builds = lake.log(COMPACTED, COMPACTED_SCHEMA)
+    last = builds.agg(F.max("build")).first()[0]
+    live = lake.read("raw", INDEX, INDEX_SCHEMA)
+    if last is None:
+        return live
+    done = builds.filter(F.col("build") == last).collect()  # one row per stream
+    covered = reduce(Column.__or__, [
+        (F.col("stream_id") == r["stream_id"]) & (F.col("batch_id") <= r["batch_id"])
+        for r in done])
+    base = lake.read("raw", f"{INDEX}_builds/build={last}", INDEX_SCHEMA)
+    return base.unionByName(live.filter(~covered))
+
+
+def compact_index(lake: Lake) -> None:
+    """Write the index anew in few files; entries it covers are not read again.
+
+    For quiet times: no stream may write to the lake meanwhile.
+    """
+    spark = lake.spark
+    last = lake.log(COMPACTED, COMPACTED_SCHEMA).agg(
+        F.coalesce(F.max("build"), F.lit(0))).first()[0]
+    index = _index(lake)
+    (index.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+     .parquet(lake.path("raw", f"{INDEX}_builds/build={last + 1}")))
+    streams = index.groupBy("stream_id").agg(F.max("batch_id").alias("batch_id"))
+    covered = streams.select(F.lit(last + 1).cast("bigint").alias("build"), *BATCH)
+    lake.append_log(COMPACTED, spark.createDataFrame(covered.collect(), COMPACTED_SCHEMA))
+
+
+def known_keys(lake: Lake, entries: DataFrame, stream_id: str, batch_id: int) -> DataFrame:
+    """Keys in the index, from the buckets of these entries only, without those that an
+    earlier attempt at the same batch has written."""
+    touched = [r[0] for r in entries.select("bucket").distinct().collect()]  # few numbers
+    own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+    return _index(lake).filter(F.col("bucket").isin(touched) & ~own).select("key")
+
+
+def not_stored(events: DataFrame, known: DataFrame) -> DataFrame:
+    """Events of which neither id nor position is known."""
+    marked = events.withColumn("_id_key", _id_key()).withColumn("_position_key", _position_key())
+    return (marked.join(known.withColumnRenamed("key", "_id_key"), "_id_key", "left_anti")
+            .join(known.withColumnRenamed("key", "_position_key"), "_position_key", "left_anti")
+            .select(events.columns))
+
+
+def _stream_of(batch: DataFrame) -> str:
+    """The id that the stream's checkpoint keeps for ever."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def store_batch(lake: Lake, batch: DataFrame, stream_id: str, batch_id: int,
+                consumer_group: str, dlq_kafka: dict[str, str] | None = None) -> None:
+    """Store one checked batch: events, index, dead letters, counters."""
+    def tagged(df: DataFrame) -> DataFrame:
+        return df.withColumn("stream_id", F.lit(stream_id)).withColumn(
+            "batch_id", F.lit(batch_id).cast("bigint"))
+
+    batch = batch.persist()
+    fresh = None
+    try:
+        processed, failed = batch.agg(F.count(F.lit(1)), F.count("error_type")).first()
+        if not processed:
+            return
+        valid, invalid = split(batch)
+        known = known_keys(lake, index_entries(valid), stream_id, batch_id)
+        fresh = first_arrivals(not_stored(valid, known)).persist()
+        lake.write_partitions(tagged(to_raw_events(fresh)), "raw", EVENTS, *BATCH)
+        entries = index_entries(fresh).repartition("bucket")
+        lake.write_partitions(tagged(entries), "raw", INDEX, "bucket", *BATCH)
+        dead = tagged(to_dlq(with_decoder_text(invalid), consumer_group))
+        lake.write_partitions(dead, "raw", DEAD, *BATCH)
+        if dlq_kafka:
+            dlq_messages(dead.drop(*BATCH)).write.format("kafka").options(**dlq_kafka).save()
+        inserted = fresh.count()
+        lake.append_log(METRICS, lake.spark.createDataFrame(
+            [(stream_id, batch_id, processed, inserted, processed - failed - inserted, failed)],
+            METRICS_SCHEMA.rpartition(",")[0]).withColumn("recorded_at", F.current_timestamp()))
+    finally:
+        batch.unpersist()
+        if fresh is not None:
+            fresh.unpersist()
 
 
 def event_sink(messages: DataFrame, lake: Lake, checkpoint: str, consumer_group: str,
-               dedup: str = "state", salts: int = 16, on_poison: str = "dlq",
-               dlq_kafka: dict[str, str] | None = None,
-               trigger: dict | None = None) -> StreamingQuery:
-    """Start the job. `trigger` defaults to one bounded run over what is there now."""
-    if dedup not in ("state", "index"):
-        raise ValueError(f"dedup must be 'state' or 'index', not {dedup!r}")
-    checked = validate(messages, on_poison).observe(
-        "arrivals", F.count(F.lit(1)).alias("processed"),
-        F.count("error_type").alias("dead_letters"))
-    if dedup == "state":
-        checked = _without_repeats(checked, salts)
+               on_poison: str = "dlq", dlq_kafka: dict[str, str] | None = None,
+               trigger: dict | None = None, batches: int | None = None) -> StreamingQuery:
+    """Start the job. `trigger` defaults to one bounded run over what is there now.
+
+    With `batches` the run ends (with EnoughBatches) before one batch more is stored. How
+    many messages a batch has is the source's limit per trigger.
+    """
+    done = 0
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            valid, invalid = split(batch)
-            fresh = valid  # the state has let one row per event through
-            if dedup == "index":
-                stored = raw_events(lake).filter(F.col("batch_id") < batch_id)
-                fresh = not_stored(first_arrivals(valid), stored)
-            number = F.lit(batch_id).cast("bigint").alias("batch_id")
-            lake.write_partitions(to_raw_events(fresh).select("*", number),
-                                  "raw", EVENTS, "batch_id")
-            dead = to_dlq(with_decoder_text(invalid), consumer_group).select("*", number)
-            lake.write_partitions(dead, "raw", DEAD, "batch_id")
-            if dlq_kafka:
-                dlq_messages(dead.drop("batch_id")).write.format("kafka").options(
-                    **dlq_kafka).save()
-        finally:
-            batch.unpersist()
-
-    return (checked.writeStream.foreachBatch(write)
+        nonlocal done
+        if batches is not None and done >= batches:
+            raise EnoughBatches(f"stopped after {batches} batches")
+        store_batch(lake, batch, _stream_of(batch), batch_id, consumer_group, dlq_kafka)
+        done += 1
+
+    return (validate(messages, on_poison).writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def record_progress(lake: Lake, query: StreamingQuery) -> DataFrame:
-    """Log the counters of the query's recent batches; returns the counters so far."""
-    arrivals = [
-        (p["batchId"], p["observedMetrics"]["arrivals"]["processed"],
-         p["observedMetrics"]["arrivals"]["dead_letters"])
-        for p in query.recentProgress if "arrivals" in (p["observedMetrics"] or {})]
-    seen = lake.spark.createDataFrame(
-        arrivals, "batch_id bigint, processed bigint, dead_letters bigint"
-    ).filter("processed > 0")
-    inserted = raw_events(lake).groupBy("batch_id").agg(F.count(F.lit(1)).alias("inserted"))
-    rows = seen.join(inserted, "batch_id", "left").select(
-        "batch_id", "processed", F.coalesce("inserted", F.lit(0)).alias("inserted"),
-        (F.col("processed") - F.col("dead_letters") - F.coalesce("inserted", F.lit(0)))
-        .alias("duplicates"),
-        "dead_letters", F.current_timestamp().alias("recorded_at"))
-    lake.append_log(METRICS, rows)
-    return stream_batches(lake)
-
-
 def run_available(messages: DataFrame, lake: Lake, checkpoint: str, consumer_group: str,
                   **options) -> DataFrame:
-    """Process everything that has arrived, then stop; returns the counters per batch."""
+    """Process everything that has arrived, or `batches` batches of it, then stop; returns
+    the counters per stream and batch."""
     query = event_sink(messages, lake, checkpoint, consumer_group, **options)
-    query.awaitTermination()
-    return record_progress(lake, query)
-
-
+    try:
+        query.awaitTermination()
+    except Exception as error:
+        if "EnoughBatches" not in str(error):
+            raise
+    return stream_batches(lake)

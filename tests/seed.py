@@ -6,30 +6,31 @@ SALES_HEADER = ["Date", "InvoiceID", "DistributorID", "SalespersonID", "OutletID
                 "ProductID", "Quantity", "UnitPrice", "DiscountPct", "DiscountAmount",
                 "GrossSales", "NetSales", "UnitCOGS", "TotalCOGS"]
 
-SALE = dict(Date="2026-09-01", DistributorID="DST001", SalespersonID="SP001",
-            OutletID="OUT001", ProductID="P001", InvoiceID="INV_CI_001", Quantity="2",
-            UnitPrice="10000", DiscountPct="0.1000", DiscountAmount="2000",
-            GrossSales="20000", NetSales="18000", UnitCOGS="6000", TotalCOGS="12000")
+# Three jars of honey at 4.50 each, a fifth off, sold on the first of a month.
+SALE = dict(Date="2025-03-01", DistributorID="D-NORTH", SalespersonID="S-17",
+            OutletID="O-4411", ProductID="HONEY-9", InvoiceID="R-25-31", Quantity="3",
+            UnitPrice="4.50", DiscountPct="0.20", DiscountAmount="2.70",
+            GrossSales="13.50", NetSales="10.80", UnitCOGS="2.40", TotalCOGS="7.20")
 
 MASTER = {
-    "DimProduct": [dict(ProductID="P001", Category="Beverage", Brand="Brand",
-                        ProductName="Product", Variant="Original", PackSize="1 PCS",
-                        UnitPrice="10000", UnitCOGS="6000")],
-    "DimDistributor": [dict(DistributorID="DST001", DistributorName="Distributor",
-                            Region="Java", Province="DKI Jakarta", City="Jakarta",
-                            DistributorType="Main Distributor", StartYear="2020")],
-    "DimSalesperson": [dict(SalespersonID="SP001", SalespersonName="Salesperson",
-                            Supervisor="Supervisor", DistributorID="DST001",
-                            Territory="Jakarta", JoinYear="2024")],
-    "DimOutlet": [dict(OutletID="OUT001", OutletName="Outlet", Channel="General Trade",
-                       OutletTier="A", DistributorID="DST001", SalespersonID="SP001",
-                       City="Jakarta", Province="DKI Jakarta", Region="Java",
-                       OpenYear="2024")],
-    "FactTarget": [dict(MonthStart="2026-09-01", SalespersonID="SP001",
-                        TargetSales="50000", TargetActiveOutlets="1")],
-    "FactInventory": [dict(MonthStart="2026-09-01", DistributorID="DST001",
-                           ProductID="P001", OpeningStock="10", StockReceived="5",
-                           UnitsSold="2", ClosingStock="13", StockValue="78000")],
+    "DimProduct": [dict(ProductID="HONEY-9", Category="Pantry", Brand="Meadow",
+                        ProductName="Clover honey", Variant="Clear", PackSize="500 G",
+                        UnitPrice="4.50", UnitCOGS="2.40")],
+    "DimDistributor": [dict(DistributorID="D-NORTH", DistributorName="Northern Goods",
+                            Region="Highlands", Province="Moray", City="Elgin",
+                            DistributorType="Wholesale", StartYear="1987")],
+    "DimSalesperson": [dict(SalespersonID="S-17", SalespersonName="Mairi",
+                            Supervisor="Callum", DistributorID="D-NORTH",
+                            Territory="Speyside", JoinYear="2011")],
+    "DimOutlet": [dict(OutletID="O-4411", OutletName="The Corner Larder", Channel="Deli",
+                       OutletTier="C", DistributorID="D-NORTH", SalespersonID="S-17",
+                       City="Keith", Province="Moray", Region="Highlands",
+                       OpenYear="1999")],
+    "FactTarget": [dict(MonthStart="2025-03-01", SalespersonID="S-17",
+                        TargetSales="640", TargetActiveOutlets="4")],
+    "FactInventory": [dict(MonthStart="2025-03-01", DistributorID="D-NORTH",
+                           ProductID="HONEY-9", OpeningStock="70", StockReceived="24",
+                           UnitsSold="31", ClosingStock="63", StockValue="151.20")],
 }
 
 
@@ -41,7 +42,7 @@ def write_csv(path, rows, header=None):
         writer.writerows(rows)
 
 
-def write_sales(folder, name="FactSales_CI.csv", rows=None, header=None):
+def write_sales(folder, name="FactSales_shop.csv", rows=None, header=None):
     folder.mkdir(exist_ok=True)
     write_csv(folder / name, rows or [SALE], header or SALES_HEADER)
 

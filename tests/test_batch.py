@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from seed import SALE, SALES_HEADER, write_csv, write_master, write_sales
 from tallyloom.operators.staging import accepted, rejects, stage
 from tallyloom.plans.ingest import ingest_master, ingest_sales
-from tallyloom.plans.jobs import (DataTestError, ReconciliationError, build, check,
+from tallyloom.plans.jobs import (DataTestError, ReconciliationError, backfill_sources,
+                                  build, check,
                                   raw_sources, run_batch, stream_sync, validate_layers)
 from tallyloom.plans.models import MARTS, Models
 from tallyloom.sources.files import fingerprint, read_entity, read_sales_csv
@@ -35,28 +36,28 @@ def test_golden_rows(built):
     day = lake.mart("dim_date").collect()
     assert len(day) == 1
     assert day[0].asDict() == dict(
-        date_key=20260901, date_day=dt.date(2026, 9, 1), day_of_month=1, month_number=9,
-        month_name="September", quarter_number=3, year=2026,
-        month_start=dt.date(2026, 9, 1), year_month="2026-09", day_of_week_number=2,
-        day_name="Tuesday", is_month_start=True)
-    assert lake.mart("dim_product").first()["product_key"] == "3aa2bb0c14859a8d189c7965ee6e2840"
+        date_key=20250301, date_day=dt.date(2025, 3, 1), day_of_month=1, month_number=3,
+        month_name="March", quarter_number=1, year=2025,
+        month_start=dt.date(2025, 3, 1), year_month="2025-03", day_of_week_number=6,
+        day_name="Saturday", is_month_start=True)
+    assert lake.mart("dim_product").first()["product_key"] == "6f67f127d968dfbf6d1853a843cc42b5"
     assert (lake.mart("dim_distributor").first()["distributor_key"]
-            == "7a5af14532caee45d40b1a5074deb371")
+            == "7011e78a2ef92ea4ca7e56e49a1e6c0f")
     assert (lake.mart("dim_salesperson").first()["salesperson_key"]
-            == "c8dd7b35ec315d0e65b6d925cb4c5d59")
-    assert lake.mart("dim_outlet").first()["outlet_key"] == "72af5463ef0248bb8447b316b6377de3"
+            == "681933e8f120c3d8e7843586c7ce86b2")
+    assert lake.mart("dim_outlet").first()["outlet_key"] == "4a1c677ea829978a8727d10e1a03348f"
     sale = lake.mart("fact_sales").first()
-    assert sale["sales_key"] == "c7c04ed4bbc62979f083712c76f37e5b"
-    assert sale["gross_profit"] == Decimal("6000.00")
+    assert sale["sales_key"] == "8cd415f1a457ec215aa30598966e1db3"
+    assert sale["gross_profit"] == Decimal("3.60")
     assert sale["gross_margin_pct"] == Decimal("0.3333333333333333333")
     assert (sale["record_source"], sale["date_key"], sale["quantity"]) == (
-        "batch", 20260901, 2)
+        "batch", 20250301, 3)
     stock = lake.mart("fact_inventory").first()
-    assert stock["inventory_key"] == "90302af60bea8a3c5d0f65f37da663b6"
-    assert stock["calculated_closing_stock"] == 13
+    assert stock["inventory_key"] == "c796a7ef38e07f6ff71c1fe0e1db0c01"
+    assert stock["calculated_closing_stock"] == 63
     goal = lake.mart("fact_sales_target").first()
-    assert goal["sales_target_key"] == "0e0c82210b5a559de56616c9d20dfd49"
-    assert (goal["target_sales"], goal["target_active_outlets"]) == (Decimal("50000.00"), 1)
+    assert goal["sales_target_key"] == "be71051dd5ed66cf8dcc7c70f31babe1"
+    assert (goal["target_sales"], goal["target_active_outlets"]) == (Decimal("640.00"), 4)
     assert lake.spark.table("stg_sales").count() == 1  # staging is registered as a view
 
 
@@ -167,8 +168,8 @@ def test_csv_layouts_and_oddities(lake, spark, tmp_path):
         "﻿" + head + '\n2026-09-01,"C ""1""\nline",D,S,O,P,1,,0,0,1,1,1,1\n\n'
         "2026-09-02,C2\n", encoding="utf-8")
     rows = {r["invoice_id"]: r for r in read_sales_csv(spark, str(sales)).collect()}
-    assert set(rows) == {"INV_CI_001", "B1", 'C "1"\nline', "C2"}
-    assert rows["B1"]["date"] == "2026-09-01" and rows["B1"]["total_cogs"] == "12000"
+    assert set(rows) == {"R-25-31", "B1", 'C "1"\nline', "C2"}
+    assert rows["B1"]["date"] == "2025-03-01" and rows["B1"]["total_cogs"] == "7.20"
     assert rows['C "1"\nline']["unit_price"] == ""  # an empty cell is kept as text
     assert rows["C2"]["quantity"] is None  # a cell the row lacks is NULL
     ingest_sales(lake, str(sales))
@@ -198,7 +199,7 @@ def test_entity_from_csv_and_parquet(spark, lake, tmp_path):
     path = tmp_path / "m" / "DimProduct.csv"
     path.write_text(path.read_text() + ",,,,,,,\nP002,Food,,Name,,,1.5,\n")
     rows = read_entity(spark, str(path), "DimProduct").collect()
-    assert [(r["product_id"], r["brand"]) for r in rows] == [("P001", "Brand"), ("P002", None)]
+    assert [(r["product_id"], r["brand"]) for r in rows] == [("HONEY-9", "Meadow"), ("P002", None)]
     spark.sql("""SELECT timestamp_ntz'2026-09-01 00:00:00' ` MonthStart`, 'SP1' SalespersonID,
         12345678.5D TargetSales, 3.0D TargetActiveOutlets
         UNION ALL SELECT NULL, NULL, NULL, NULL""").coalesce(1).write.parquet(
@@ -210,6 +211,12 @@ def test_entity_from_csv_and_parquet(spark, lake, tmp_path):
     assert (row[0]["target_sales"], row[0]["target_active_outlets"]) == (
         Decimal("12345678.50"), 3)
     assert typed.first()["month_start"] == "2026-09-01T00:00:00"
+    spark.sql("""SELECT 1001.0D ProductID, 'Tea' Category, 'B' Brand, 'N' ProductName,
+        -0.5D Variant, 12.0D PackSize, 0.125D UnitPrice, 100.0D UnitCOGS""").coalesce(1).write.parquet(
+        str(tmp_path / "DimProduct.parquet"))
+    cells = read_entity(spark, str(tmp_path / "DimProduct.parquet"), "DimProduct").first()
+    assert [cells[c] for c in ("product_id", "variant", "pack_size", "unit_price", "unit_cogs")
+            ] == ["1001", "-0.5", "12", "0.125", "100"]
     ingest_master(lake, str(tmp_path / "m"), entities=["DimProduct"])
     numbers = lake.read("raw", "product").orderBy("product_id").collect()
     assert [r["source_row_number"] for r in numbers] == [2, 3]  # counted without empty rows
@@ -235,14 +242,38 @@ def test_backfill(lake, spark):
              for n in ("a.csv", "gone.csv")]
     ids = ledger.start("fact_sales_ingestion", files)
     ledger.complete({i: 5 for i in ids.values()})
-    found = spark.sql("SELECT 'a.csv' source_name, 'abc' sha256, 12L size_bytes, "
-                      "timestamp'2026-01-01' modified_at")
+    found = spark.sql("SELECT 'fact_sales_ingestion' pipeline_name, 'a.csv' source_name, "
+                      "'abc' sha256, 12L size_bytes, timestamp'2026-01-01' modified_at "
+                      "UNION ALL SELECT 'other', 'gone.csv', 'x', 1L, NULL")
     report = {r["source_name"]: r["decision"] for r in ledger.backfill(found).collect()}
     assert report == {"a.csv": "UPDATE", "gone.csv": "SKIP"}
     runs = {r["source_name"]: r for r in ledger.runs().collect()}
     assert (runs["a.csv"]["source_hash"], runs["a.csv"]["status"]) == ("abc", "SUCCESS")
     assert runs["gone.csv"]["source_hash"] is None
     assert {r["source_name"] for r in ledger.backfill(found).collect()} == {"gone.csv"}
+    state = {r["source_name"]: r["active_run_id"] for r in ledger.seed().collect()}
+    assert state == {"a.csv": ids["a.csv"]}
+    ledger.set_active("fact_sales_ingestion", [("a.csv", 99, "old"), ("b.csv", 98, "b")])
+    state = {r["source_name"]: r["active_run_id"] for r in ledger.seed().collect()}
+    assert state == {"a.csv": ids["a.csv"], "b.csv": 98}  # b has no run to seed from
+
+
+def test_backfill_job_finds_each_pipelines_files(lake, tmp_path):
+    write_sales(tmp_path / "sales", "FactSales_1.csv")
+    write_master(tmp_path / "master")
+    ledger = Ledger(lake)
+    blank = dict(sha256=None, size_bytes=None, modified_at=None)
+    ids = ledger.start("fact_sales_ingestion", [
+        {"source_name": n, **blank} for n in ("FactSales_1.csv", "FactSales_2.csv")])
+    ids |= ledger.start("master_data_ingestion", [{"source_name": "MasterData:DimOutlet", **blank}])
+    ledger.complete({i: 1 for i in ids.values()})
+    report = backfill_sources(lake, str(tmp_path / "sales"), str(tmp_path / "master")).collect()
+    assert [(r["source_name"], r["decision"]) for r in report] == [
+        ("FactSales_1.csv", "UPDATE"), ("FactSales_2.csv", "SKIP"),
+        ("MasterData:DimOutlet", "UPDATE")]
+    hashes = {r["source_name"]: r["source_hash"] for r in ledger.runs().collect()}
+    assert hashes["FactSales_1.csv"] and hashes["MasterData:DimOutlet"]
+    assert hashes["FactSales_2.csv"] is None
 
 
 def test_strict_and_tolerant_staging(spark):

@@ -3,8 +3,7 @@
 from conftest import SF
 from tallyloom import bindings as b
 from tallyloom.operators.facts import lookup
-from tallyloom.operators.versioning import pinned_raw
-from tallyloom.plans.models import Models
+from tallyloom.operators.versioning import current_raw
 from tallyloom.queries import all_queries, models
 
 
@@ -37,12 +36,14 @@ def test_scans_read_only_what_is_needed(spark):
     assert text.count("FileScan") == 1 or "l_extendedprice" not in text
 
 
-def test_only_pinned_versions_are_read(spark, lake):
+def test_only_active_versions_are_read(spark, lake):
     rows = spark.range(30).selectExpr("id", "id % 3 AS pipeline_run_id")
     lake.write_partitions(rows, "raw", "t", "pipeline_run_id")
-    state = spark.sql("SELECT 'p' pipeline_name, 's' source_name, 2L active_run_id")
-    current = pinned_raw(lake.read("raw", "t"), state, "p")
-    assert "PartitionFilters: [isnotnull(pipeline_run_id" in plan(current)
+    spark.sql("SELECT 'p' pipeline_name, 's' source_name, 2L active_run_id").write.parquet(
+        lake.path("metadata", "state"))
+    state = spark.read.parquet(lake.path("metadata", "state"))
+    current = current_raw(lake.read("raw", "t"), state, "p")
+    assert "dynamicpruning" in plan(current)
     assert {r["pipeline_run_id"] for r in current.collect()} == {2}
 
 
@@ -62,8 +63,13 @@ def test_a_hot_dimension_key_is_split(spark, conf):
     assert joined.count() == 60000
 
 
-def test_the_given_calendar_equals_the_model(spark):
-    t = b.Tables(spark, SF)
-    full = Models(b.sources(t)).ref("dim_date")
-    cheap = models(spark, SF).ref("dim_date")
-    assert full.exceptAll(cheap).count() == 0 and cheap.exceptAll(full).count() == 0
+def test_positions_of_messages_are_unique(spark):
+    """At the size that the bench runs on: an exact number for each line and copy."""
+    t = b.Tables(spark, SF.replace("0.001", "0.1"))
+    for messages in (b.correction_messages(t), b.defective_messages(t)):
+        positions = messages.select("topic", "partition", "offset")
+        assert positions.count() == positions.distinct().count()
+    lines = t.lineitem.groupBy("l_orderkey").count().agg({"count": "max"}).first()[0]
+    assert lines < 1000
+    records = b.inventory(t).select("raw_record_id")
+    assert records.count() == records.distinct().count()

@@ -15,11 +15,6 @@ from check_sql import TABLES, plain  # noqa: E402
 from tallyloom.oracle import all_sql  # noqa: E402
 from tallyloom.queries import all_queries  # noqa: E402
 
-SAMPLE = ["stg_sales", "stg_inventory", "fact_sales", "fact_sales_target", "dim_date",
-          "run_ledger", "seed_active", "skip_decisions", "current_raw_sales",
-          "event_contract", "dlq_events", "ingest_twice", "orphans", "profile_entities"]
-
-
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
@@ -28,7 +23,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", sorted(all_sql()))
 def test_same_rows_as_sql(spark, db, name):
     df = queries()[name](spark, SF)
     cursor = db.execute(oracle_sql()[name])
