@@ -6,6 +6,8 @@ record per file (its fingerprint and its decision), never data rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..sources.files import (check_columns, fingerprint, number_rows, scan_csv,
 from ..sources.layers import Lake
 from ..sources.ledger import Ledger
 
+ROW_BITS = 36  # of a record id; the run id has the rest
 REPORT_SCHEMA = "source_name string, decision string, run_id bigint, rows bigint"
 
 
@@ -53,7 +56,9 @@ def _write_raw(lake: Lake, files: list, feed: Feed, run_ids: dict[str, int]) ->
     numbered = number_rows(spark.read.parquet(landing)).join(by_file, "source_file", "left")
     stray = F.raise_error(F.concat(F.lit("row of an unknown file: "), "source_file"))
     numbered = numbered.withColumn("pipeline_run_id", F.coalesce("run", stray.cast("bigint")))
-    record = F.shiftleft(F.col("pipeline_run_id"), 40) + F.col("source_row_number")
+    if max(run_ids.values()) >= 1 << (63 - ROW_BITS):
+        raise OverflowError("run ids leave no room for row numbers in record ids")
+    record = F.shiftleft(F.col("pipeline_run_id"), ROW_BITS) + F.col("source_row_number")
     sheet = [F.lit(feed.sheet).alias("source_sheet")] if feed.sheet else []
     rows = numbered.select(
         record.alias("raw_record_id"), *feed.raw_columns, "source_file", *sheet,
@@ -61,11 +66,36 @@ def _write_raw(lake: Lake, files: list, feed: Feed, run_ids: dict[str, int]) ->
         F.current_timestamp().alias("ingested_at"))
     lake.write_partitions(rows, "raw", feed.table, "pipeline_run_id")
     written = lake.read("raw", feed.table).filter(
-        F.col("pipeline_run_id") >= min(run_ids.values()))
+        F.col("pipeline_run_id").between(min(run_ids.values()), max(run_ids.values())))
     counted = written.groupBy("pipeline_run_id").count().collect()  # one row per file
     return {r["pipeline_run_id"]: r["count"] for r in counted}
 
 
+def _write_all(lake: Lake, ledger: Ledger, group: list, feed: Feed, run_ids: dict[str, int],
+               ) -> Iterator[tuple[list, dict[int, int]]]:
+    """(files, rows by run) of what is written: all files in one job, or, if that breaks,
+    one by one up to the file that breaks it. That one and those behind it fail."""
+    try:
+        loaded = _write_raw(lake, group, feed, run_ids)
+    except Exception as error:
+        if len(group) == 1:
+            ledger.fail(list(run_ids.values()), str(error))
+            raise
+    else:
+        yield group, loaded
+        return
+    for i, f in enumerate(group):
+        own = {f["source_name"]: run_ids[f["source_name"]]}
+        try:
+            loaded = _write_raw(lake, [f], feed, own)
+        except Exception as error:
+            ledger.fail(list(own.values()), str(error))
+            ledger.fail([run_ids[x["source_name"]] for x in group[i + 1:]],
+                        f"not loaded: {f['source_name']} failed before")
+            raise
+        yield [f], loaded
+
+
 def load_files(lake: Lake, pipeline: str, files: DataFrame) -> list[tuple]:
     """Load the files whose content was not loaded before; (source, decision, run, rows).
 
@@ -89,16 +119,12 @@ def load_files(lake: Lake, pipeline: str, files: DataFrame) -> list[tuple]:
         for table in dict.fromkeys(f["table"] for f in fresh):
             group = [f for f in fresh if f["table"] == table]
             run_ids = ledger.start(pipeline, group)
-            try:
-                loaded = _write_raw(lake, group, FEEDS[table], run_ids)
-            except Exception as error:
-                ledger.fail(list(run_ids.values()), str(error))
-                raise
-            for f in group:
-                run = run_ids[f["source_name"]]
-                counts[run] = loaded.get(run, 0)
-                report.append((f["source_name"], "LOADED", run, counts[run]))
-                active.append((f["source_name"], run, f["sha256"]))
+            for part, loaded in _write_all(lake, ledger, group, FEEDS[table], run_ids):
+                for f in part:
+                    run = run_ids[f["source_name"]]
+                    counts[run] = loaded.get(run, 0)
+                    report.append((f["source_name"], "LOADED", run, counts[run]))
+                    active.append((f["source_name"], run, f["sha256"]))
     finally:
         ledger.complete(counts)
         ledger.set_active(pipeline, active)

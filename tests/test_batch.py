@@ -149,6 +149,31 @@ def test_a_load_that_breaks_leaves_no_rows(lake, tmp_path, monkeypatch):
     assert ledger.state().count() == 0
 
 
+def test_each_file_fails_alone(lake, tmp_path, monkeypatch):
+    import tallyloom.plans.ingest as ingest
+    for i in (1, 2, 3):
+        write_sales(tmp_path / "sales", f"FactSales_{i}.csv", rows=[{**SALE, "InvoiceID": f"I{i}"}])
+    real = ingest._scan
+
+    def breaks(lake, files, feed):
+        if any(f["source_name"] == "FactSales_2.csv" for f in files):
+            raise RuntimeError("disk trouble")
+        return real(lake, files, feed)
+
+    monkeypatch.setattr(ingest, "_scan", breaks)
+    with pytest.raises(RuntimeError, match="disk trouble"):
+        ingest_sales(lake, str(tmp_path / "sales"))
+    runs = {r["source_name"]: (r["status"], r["error_message"]) for r in Ledger(lake).runs().collect()}
+    assert runs["FactSales_1.csv"] == ("SUCCESS", None)
+    assert runs["FactSales_2.csv"] == ("FAILED", "disk trouble")
+    assert runs["FactSales_3.csv"][0] == "FAILED" and "FactSales_2.csv" in runs["FactSales_3.csv"][1]
+    assert [r["source_name"] for r in Ledger(lake).state().collect()] == ["FactSales_1.csv"]
+    monkeypatch.setattr(ingest, "_scan", real)
+    again = {r["source_name"]: r["decision"] for r in ingest_sales(lake, str(tmp_path / "sales")).collect()}
+    assert again == {"FactSales_1.csv": "SKIPPED", "FactSales_2.csv": "LOADED",
+                     "FactSales_3.csv": "LOADED"}
+
+
 def test_no_files_is_an_error(lake, spark, tmp_path):
     (tmp_path / "sales").mkdir()
     (tmp_path / "sales" / "other.csv").write_text("a\n1\n")
