@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
-PIECE_BYTES = 4 << 20  # texts are worked on in pieces of about this size
+PIECE_BYTES = 1 << 20  # texts are worked on in pieces of about this size
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_DEFAULT = "67108864b"
+BATCH_BYTES = 8 << 20
 LONG_WORD = 256  # words above this many bytes are hashed by BLAKE2
 
 
@@ -38,6 +41,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of about BATCH_BYTES, unless the session says else."""
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, computed once and read back from the shared folder."""
     shared_folder(df.sparkSession, "cut")
@@ -46,6 +55,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def two_columns(df: DataFrame, key: str, text: str) -> DataFrame:
     """Only id and text, whatever other columns there are."""
+    bounded_batches(df.sparkSession)
     return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
 

@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, covered, flat, pieces, ragged, two_columns
+from .common import ALNUM, Words, bounded_batches, covered, flat, pieces, ragged, two_columns
 
 PHRASE = 10  # words
+SHARD_BYTES = 4 << 20  # of text in an index
 BLOCK_BYTES = 8 << 20  # of benchmark text in one broadcast
 SAMPLED = 8  # every so manieth word of a run keeps its place
 
@@ -262,7 +263,7 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id",
                 if len(blocks) > 1:
                     b.__dict__.pop("_value", None)  # one block in memory at a time
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=SHARD_BYTES):
             column = batch.column("text")
             w, hit, items = scan_shard(column, each())
             data, offsets = flat(column)
@@ -296,11 +297,12 @@ def remove_hits(documents: DataFrame, benchmark: DataFrame, text: str = "text",
 
     A column n_chars, where there is one, is set anew for texts that change.
     """
+    bounded_batches(documents.sparkSession)
     blocks = phrase_blocks(benchmark, item_key, item_text, length)
     names = documents.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, SHARD_BYTES):
             column = batch.column(text)
             w, hit, _ = scan_shard(column, (b.value for b in blocks))
             if hit.any():

@@ -25,11 +25,11 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (ALNUM, U64, Words, components, cut, flat, least_labels, mix, pieces,
-                     settle, windows_hash)
+from .common import (ALNUM, U64, Words, bounded_batches, components, cut, flat, least_labels,
+                     mix, pieces, settle, windows_hash)
 
 SHINGLE = 5  # words
 SIMILAR = 0.8
@@ -219,6 +219,7 @@ def join_similar(documents: DataFrame, key: str = "doc_id", text: str = "text",
     threshold. component_id: smallest doc_id reachable over links. kept: the one row of its
     component that stays.
     """
+    bounded_batches(documents.sparkSession)
     rows = described(documents, key, text, size)
     slim = rows.select("uid", "doc_id", "text_hash", "digest")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid"))
@@ -316,8 +317,6 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text",
     whole = inner.join(gone, on, "left_anti")
     # of rows that are equal in id and text, one may stay while others go: so many are kept
     some = inner.join(gone.where("stay > 0"), on)
-    from pyspark.sql import Window
-
     order = Window.partitionBy("id", "hash").orderBy(F.lit(1))
     some = some.withColumn("k", F.row_number().over(order)).where("k <= stay").select("row")
     return whole.select("row.*").union(some.select("row.*"))

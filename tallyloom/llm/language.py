@@ -25,8 +25,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
-from .common import flat, pieces
+from .common import bounded_batches, flat, pieces
 
 KEPT = 400  # n-grams in a profile
 LONGEST = 4  # bytes of an n-gram
@@ -97,6 +98,8 @@ def train(documents: DataFrame, text: str = "text", lang: str = "lang",
           kept: int = KEPT) -> DataFrame:
     """lang, gram, place (from 0): the profile of every language, from all the rows."""
 
+    bounded_batches(documents.sparkSession)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
 
@@ -171,8 +174,7 @@ def letters_in(column: pa.Array) -> np.ndarray:
 
 def predict(documents: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
     """The documents, all columns, with lang_pred and score behind them."""
-    from pyspark.sql.types import DoubleType, StringType, StructType
-
+    bounded_batches(documents.sparkSession)
     schema = StructType([*documents.schema.fields]).add("lang_pred", StringType()).add(
         "score", DoubleType())
 

@@ -42,7 +42,7 @@ CLASSES = 64  # of large lengths
 SMALL = SIZE // 16  # lengths up to this are small
 SLACK = SIZE // 64  # free space a configuration may leave
 DISSOLVE = SIZE // 128  # sequences with more free space are filled anew
-CACHED = 400_000  # parts in a worker's cache
+CACHED = 250_000  # parts in a worker's cache
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -109,7 +109,7 @@ def token_pieces(documents: DataFrame, path: str, key: str = "doc_id", text: str
         if path not in _TOKENS:
             _TOKENS[path] = Tokens(path)
         tokens = _TOKENS[path]
-        for batch in pieces(batches, limit=16 << 20):
+        for batch in pieces(batches, limit=4 << 20):
             ids, counts = batch_ids(batch.column("text"), tokens)
             rows: list[tuple] = []
             at = 0
