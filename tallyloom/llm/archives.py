@@ -1,8 +1,9 @@
 """WARC records in ZIP packages: written by tasks, read back by ranges, never unpacked.
 
-Records are written one after the other into `archive/data.warc` of a package, a stored
-(uncompressed) member, followed by `indexes/records.idx`, a stored member with a line per
-record: its place and length. Packages are limited in size and their names are new for every
+Records are written one after the other, each compressed by itself, into
+`archive/data.warc.gz` of a package, a stored member that ZIP does not compress again,
+followed by `indexes/records.idx`, a stored member with a line per record: its place and
+length. Packages are limited in size and their names are new for every
 attempt of a task; only those that the written manifest names are read, so a lost task leaves
 at most an unused file. A reader looks for the end of the central directory, takes the ZIP64
 directory where there is one, finds both members by their local headers, and reads index and
@@ -19,6 +20,7 @@ response. An empty table writes no package.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import struct
@@ -37,7 +39,8 @@ from .common import cut, shared_folder
 
 LEAST = 100  # bytes of a payload that others may revisit
 PACKAGE_BYTES = 64 << 20
-DATA, INDEX = "archive/data.warc", "indexes/records.idx"
+DATA, INDEX = "archive/data.warc.gz", "indexes/records.idx"
+LEVEL = 6  # of gzip
 DAY = "2020-01-01T00:00:00Z"  # records of a page table have no date of their own
 
 MANIFEST = "path string, records long"
@@ -183,7 +186,7 @@ class PackageReader:
 
 def warc_record(page_id: int | None, url: str | None, payload: bytes, digest: str,
                 refers_to: int | None, revisit: bool) -> bytes:
-    """A WARC/1.1 record; the payload is the block of a response, a revisit has none."""
+    """A compressed WARC/1.1 record; the payload is a response's block, a revisit has none."""
     head = [("WARC-Type", "revisit" if revisit else "response"),
             ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DAY)]
     if url is not None:
@@ -199,10 +202,14 @@ def warc_record(page_id: int | None, url: str | None, payload: bytes, digest: st
         payload = b""
     head += [("Content-Type", "text/html"), ("Content-Length", str(len(payload)))]
     lines = "".join(f"{k}: {v}\r\n" for k, v in head)
-    return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + payload + b"\r\n\r\n"
+    whole = b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + payload + b"\r\n\r\n"
+    return gzip.compress(whole, LEVEL, mtime=0)
 
 
 def parse_record(data: bytes) -> dict:
+    """A record, compressed or plain."""
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
     top, _, rest = data.partition(b"\r\n\r\n")
     first, *lines = top.decode().split("\r\n")
     if not first.startswith("WARC/"):
