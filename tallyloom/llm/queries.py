@@ -98,6 +98,22 @@ def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+link(x, y) AS (
+  SELECT a.vec_id, b.vec_id FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(x, y) AS (
+  SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+own AS (SELECT x, count(*) AS n_links FROM link GROUP BY x),
+part AS (SELECT x, min(y) AS least FROM reach GROUP BY x)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links,
+       least(vec_id, coalesce(part.least, vec_id)) AS component_id,
+       vec_id <= coalesce(part.least, vec_id) AS kept
+FROM v LEFT JOIN own ON vec_id = own.x LEFT JOIN part ON vec_id = part.x
+"""
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return recompression.dedup_substrings(table(spark, folder, "documents"))
 
@@ -156,6 +172,37 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "class_id", "n_links", "component_id", "kept")
 
 
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS k
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b USING (k) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y, c = nx.n AND c = ny.n AS same
+  FROM p JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id
+  WHERE c >= 0.8 * (nx.n + ny.n - c)),
+reach(x, y) AS (
+  SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+own AS (
+  SELECT x, count(*) AS n_links, min(CASE WHEN same THEN y END) AS first_same
+  FROM link GROUP BY x),
+part AS (SELECT x, min(y) AS least FROM reach GROUP BY x)
+SELECT doc_id, least(doc_id, coalesce(first_same, doc_id)) AS class_id,
+       CAST(coalesce(n_links, 0) AS BIGINT) AS n_links,
+       least(doc_id, coalesce(part.least, doc_id)) AS component_id,
+       doc_id <= coalesce(part.least, doc_id) AS kept
+FROM d LEFT JOIN own ON doc_id = own.x LEFT JOIN part ON doc_id = part.x
+"""
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -173,4 +220,5 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op2_decontaminate": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op9_warc": OP9_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op5_embedding_near_dedup": OP5_SQL,
+            "op6_substring_dedup": OP6_SQL, "op9_warc": OP9_SQL, "op10_jaccard_join": OP10_SQL}
