@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, U64, Words, cut, flat, mix, pieces
+from .common import SPACED, U64, Words, bounded_batches, cut, flat, mix, pieces
 
 BUCKETS = 1 << 16
 CHANCE = 5.0
@@ -123,9 +123,11 @@ def draw(weighed: DataFrame, k: int, seed: int = SEED) -> DataFrame:
 def resample(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
              share: float | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Draws a share of the documents; by default the share of targets among the labelled."""
+    bounded_batches(documents.sparkSession)
     known = targets(labels)
     slim = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    marked = slim.join(known, "doc_id", "left").select(
+    # merged at every size: the labels grow with the corpus
+    marked = slim.join(known.hint("merge"), "doc_id", "left").select(
         "text", F.coalesce("target", F.lit(False)).alias("target"))
     ratios = log_ratios(bucket_counts(marked, buckets), buckets)
     if share is None:
