@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import surrogate_key
 
+# The columns of the facts, here and in the selects below.
 _LINEAGE = ["raw_record_id", "source_file", "source_sheet", "source_row_number",
             "pipeline_run_id", "ingested_at"]
 

@@ -10,7 +10,7 @@ from seed import SALE, SALES_HEADER, write_csv, write_master, write_sales
 from tallyloom.operators.staging import accepted, rejects, stage
 from tallyloom.plans.ingest import ingest_master, ingest_sales
 from tallyloom.plans.jobs import (DataTestError, ReconciliationError, backfill_sources,
-                                  build, check,
+                                  build, check, ledger_faults,
                                   raw_sources, run_batch, stream_sync, validate_layers)
 from tallyloom.plans.models import MARTS, Models
 from tallyloom.sources.files import fingerprint, read_entity, read_sales_csv
@@ -174,6 +174,17 @@ def test_each_file_fails_alone(lake, tmp_path, monkeypatch):
                      "FactSales_3.csv": "LOADED"}
 
 
+def test_references_to_unknown_runs_are_found(lake, tmp_path):
+    write_sales(tmp_path / "sales")
+    run = ingest_sales(lake, str(tmp_path / "sales")).first()["run_id"]
+    assert ledger_faults(lake).collect() == []
+    stray = lake.read("raw", "sales").withColumn("pipeline_run_id", F.lit(run + 7))
+    lake.write_partitions(stray, "raw", "sales", "pipeline_run_id")
+    Ledger(lake).set_active("master_data_ingestion", [("MasterData:DimOutlet", run + 9, "x")])
+    assert sorted(map(tuple, ledger_faults(lake).collect())) == [
+        ("sales", run + 7, 1), ("source_state", run + 9, 1)]
+
+
 def test_no_files_is_an_error(lake, spark, tmp_path):
     (tmp_path / "sales").mkdir()
     (tmp_path / "sales" / "other.csv").write_text("a\n1\n")
