@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, flat, pieces, ragged, ranges_hash
+from .common import PIECE_BYTES, U64, flat, pieces, ragged, ranges_hash, windows_hash
 from .decontaminate import suffix_order
 from .recompression import ASKED, NOTES, answer_symbols, asked_rows, note_rows
 
@@ -129,23 +129,32 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     # sort the substrings between leftmost-smaller places, then name them in this order
     order = induce(t, small, leftmost)
     ranked = order[first[order]]
-    end = np.empty(len(t), np.int64)
-    end[leftmost] = np.append(leftmost[1:], len(t) - 1) + 1
-    wide = np.empty((len(t), 2), np.uint8)  # a symbol is up to 256
-    wide[:, 0], wide[:, 1] = t & 0xFF, t >> 8
-    a, b = ranked.astype(np.int64), end[ranked]
-    stop = t[ranked] == 0
-    b = np.where(stop, a + 1, b)
-    prints = ranges_hash(wide.reshape(-1), 2 * a, 2 * b)
+    place = np.cumsum(first, dtype=np.int32)[ranked] - 1
+    prints = substring_prints(t, leftmost)[place]
     new = np.ones(len(ranked), bool)
-    new[1:] = (prints[1:] != prints[:-1]) | ((b - a)[1:] != (b - a)[:-1])
-    names = np.zeros(len(t), np.int64)
-    names[ranked] = np.cumsum(new)
-    names[t == 0] = 0  # no two ends are alike: the later one is larger
-    reduced = names[leftmost]
+    new[1:] = prints[1:] != prints[:-1]
+    reduced = np.empty(len(ranked), np.int64)
+    reduced[place] = np.cumsum(new)
+    reduced[t[leftmost] == 0] = 0  # no two ends are alike: the later one is larger
     return induce(t, small, leftmost[suffix_order(reduced)])
 
 
+def substring_prints(t: np.ndarray, leftmost: np.ndarray) -> np.ndarray:
+    """A hash of the substring from each leftmost-smaller place to the next one, in portions
+    of the text."""
+    out = np.empty(len(leftmost), U64)
+    ends = np.append(leftmost[1:], len(t) - 1) + 1
+    low = 0
+    while low < len(leftmost):
+        begin = int(leftmost[low])
+        high = max(low + 1, int(np.searchsorted(leftmost, begin + PIECE_BYTES)))
+        part = t[begin:int(ends[high - 1])].astype(U64)
+        out[low:high] = windows_hash(part, leftmost[low:high].astype(np.int64) - begin,
+                                     ends[low:high].astype(np.int64) - begin)
+        low = high
+    return out
+
+
 def common_prefixes(t: np.ndarray, order: np.ndarray, until: np.ndarray) -> np.ndarray:
     """For each place the length its suffix has in common with the one before it in order.
 
@@ -154,16 +163,16 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, until: np.ndarray) -> np.n
     one less than before.
     """
     n = len(t)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
     head = np.ones(n, bool)
     head[1:] = (before[1:] != before[:-1] + 1) | (before[1:] < 1) | (t[:-1] == 0)
     at = np.flatnonzero(head & (before >= 0))
-    raw = np.zeros(n + 8, U64)
-    raw[:n] = (t & 0xFF) if t.max() < 256 else np.maximum(t.astype(np.int64) - 1, 0)
+    raw = np.zeros(n + 8, np.uint8)
+    raw[:n] = np.maximum(t, 1) - 1
     eight = np.zeros(n + 1, U64)
     for k in range(8):
-        eight[:n] |= raw[k:n + k] << U64(8 * k)
+        eight[:n] |= raw[k:n + k].astype(U64) << U64(8 * k)
     most = np.minimum(until[at], until[before[at]])
     length = np.zeros(len(at), np.int64)
     open_ = np.flatnonzero(most > 0)
@@ -175,26 +184,30 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, until: np.ndarray) -> np.n
             same[(x >> U64(8 * k)) & U64(0xFF) != 0] = k
         length[open_] += same
         open_ = open_[(same == 8) & (length[open_] < most[open_])]
-    found = np.zeros(n, np.int64)
-    found[at] = np.minimum(length, most)
-    heads = np.flatnonzero(head)
-    group = np.cumsum(head) - 1
-    return np.maximum(found[heads][group] - (np.arange(n) - heads[group]), 0)
+    del eight, raw
+    heads = np.flatnonzero(head).astype(np.int32)
+    reach = np.zeros(len(heads), np.int32)  # what a head has in common, and where it is
+    reach[np.searchsorted(heads, at)] = np.minimum(length, most)
+    reach += heads
+    out = reach[np.cumsum(head, dtype=np.int32) - 1]
+    out -= np.arange(n, dtype=np.int32)
+    return np.maximum(out, 0, out=out)
 
 
 def equal_windows(data: np.ndarray, lengths: np.ndarray, size: int = LENGTH) -> np.ndarray:
     """A class for each window of `size` bytes of the texts in turn; equal ones share it."""
     n = len(lengths)
-    ends = np.cumsum(lengths + 1)  # with a stop behind each text
+    ends = np.cumsum(lengths + 1).astype(np.int32)  # with a stop behind each text
     t = np.zeros(int(ends[-1]), np.int16)
     inside = np.ones(len(t), bool)
     inside[ends - 1] = False
     t[inside] = data.astype(np.int16) + 1
+    del inside
     order = suffix_array(t)
-    until = np.repeat(ends - 1, lengths + 1) - np.arange(len(t))
+    until = np.repeat(ends - 1, lengths + 1) - np.arange(len(t), dtype=np.int32)
     shared = common_prefixes(t, order, until)
-    label = np.empty(len(t), np.int64)
-    label[order] = np.cumsum(shared[order] < size)
+    label = np.empty(len(t), np.int32)
+    label[order] = np.cumsum(shared[order] < size, dtype=np.int32)
     windows = np.maximum(lengths - size + 1, 0)
     return label[ragged(ends - 1 - lengths, windows)] if n else np.zeros(0, np.int64)
 
