@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, pieces, ragged, two_columns
+from .common import cut, pieces, ragged
 
 SIZE = 4096  # tokens in a sequence
 END = 1  # id that ends a document
@@ -42,14 +42,41 @@ CLASSES = 64  # of large lengths
 SMALL = SIZE // 16  # lengths up to this are small
 SLACK = SIZE // 64  # free space a configuration may leave
 DISSOLVE = SIZE // 128  # sequences with more free space are filled anew
-CACHED = 250_000  # parts in a worker's cache
+BATCH_BYTES = 16 << 20  # of text whose parts are numbered together
+JOINED = 4000  # plain words numbered at once
+CACHED = 150_000  # entries in a generation of a worker's caches
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 #: Letters that turn to lower case one by one, then marks that stand for themselves.
+_LOWER = re.compile("[a-zß-öø-ÿ]+")
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
 
 
+class Recent:
+    """What was looked up of late: at most two generations of so many entries."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
+
+    def find(self, keys: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """The values, and the places of the keys that are not here."""
+        if len(self.new) > self.limit:
+            self.new, self.old = {}, self.new
+        new, old = self.new, self.old
+        values, missing = [], []
+        for i, key in enumerate(keys):
+            value = new.get(key)
+            if value is None:
+                value = old.get(key)
+                if value is None:
+                    missing.append(i)
+                else:
+                    new[key] = value
+            values.append(value)
+        return values, missing
+
+
 class Tokens:
     """Ids of parts of texts, as bytes of little-endian 32-bit numbers."""
 
@@ -58,29 +85,44 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.parts, self.words = Recent(CACHED), Recent(CACHED)
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of what is numbered as one text."""
+        values, missing = self.words.find(words)
+        plain = [i for i in missing if _LOWER.fullmatch(words[i])]
+        other = [i for i in missing if not _LOWER.fullmatch(words[i])]
+        for at in range(0, len(plain), JOINED):
+            some = plain[at:at + JOINED]
+            for i, ids in zip(some, self._joined([words[i] for i in some])):
+                values[i] = self.words.new[words[i]] = ids
+        found = self.tokenizer.encode_batch_fast([words[i] for i in other],
+                                                 add_special_tokens=False)
+        for i, x in zip(other, found):
+            values[i] = self.words.new[words[i]] = np.array(x.ids, "<u4").tobytes()
+        return values
+
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words, numbered as one text: each is one word to the vocabulary."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
+        if len(counts) != len(words):
+            raise ValueError("the vocabulary splits words that it should keep")
+        data, ends = np.array(found.ids, "<u4").tobytes(), np.cumsum(counts) * 4
+        return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def of(self, parts: list[str]) -> list[bytes]:
         """A plain word and marks behind it are numbered apart, the word in lower case."""
-        if len(self.cache) > CACHED:
-            self.cache.clear()
-        split, missing = [], {}
-        for part in parts:
-            m = _PLAIN.fullmatch(part)
-            pair = (m[1].lower(), m[2]) if m else (part, "")
-            split.append(pair)
-            for x in pair:
-                if x and x not in self.cache:
-                    missing[x] = None
-        new = list(missing)
-        self.cache.update(zip(new, self._encode(new)))
-        get = self.cache
-        get[""] = b""
-        return [get[a] + get[b] if b else get[a] for a, b in split]
+        values, missing = self.parts.find(parts)
+        pairs = []
+        for i in missing:
+            m = _PLAIN.fullmatch(parts[i])
+            pairs.append((m[1].lower(), m[2]) if m else (parts[i], ""))
+        words = list(dict.fromkeys(x for pair in pairs for x in pair))
+        ids = dict(zip(words, self._of_words(words)))
+        for i, (word, marks) in zip(missing, pairs):
+            values[i] = self.parts.new[parts[i]] = ids[word] + ids[marks] if marks else ids[word]
+        return values
 
 
 _TOKENS: dict[str, Tokens] = {}
@@ -109,7 +151,7 @@ def token_pieces(documents: DataFrame, path: str, key: str = "doc_id", text: str
         if path not in _TOKENS:
             _TOKENS[path] = Tokens(path)
         tokens = _TOKENS[path]
-        for batch in pieces(batches, limit=4 << 20):
+        for batch in pieces(batches, limit=BATCH_BYTES):
             ids, counts = batch_ids(batch.column("text"), tokens)
             rows: list[tuple] = []
             at = 0
@@ -125,7 +167,8 @@ def token_pieces(documents: DataFrame, path: str, key: str = "doc_id", text: str
                 "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
                 "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
-    return two_columns(documents, key, text).mapInArrow(task, PIECES)
+    slim = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return slim.mapInArrow(task, PIECES)
 
 
 def best_configuration(sizes: np.ndarray, counts: np.ndarray, size: int,
