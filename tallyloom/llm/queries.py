@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (archives, decontaminate, importance, jaccard, language, packing, projections,
-               recompression, secrets, suffixes)
+               recompression, secrets, suffixes, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,6 +203,10 @@ FROM d LEFT JOIN own ON doc_id = own.x LEFT JOIN part ON doc_id = part.x
 """
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -215,6 +219,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_importance_resampling": op8_importance_resampling,
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_toxicity": op11_toxicity,
     }
 
 
