@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (archives, decontaminate, importance, jaccard, language, packing, projections,
-               recompression, secrets, suffixes, toxicity)
+               recompression, secrets, suffixes, toxicity, turn_trie)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -207,6 +207,54 @@ def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+OP12_SQL = """
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS size,
+         substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '')
+                       || coalesce(text, '')), 1, 32) AS name
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'name': name, 'size': size} ORDER BY turn NULLS FIRST, name, size) AS ts
+  FROM turns GROUP BY conv_id),
+crc(conv_id, bits, k, v) AS (
+  SELECT conv_id, 8 * strlen(CAST(conv_id AS VARCHAR)), 0, 4294967295 FROM own
+  UNION ALL
+  SELECT conv_id, bits, k + 1, CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+  FROM (SELECT *, CASE WHEN k % 8 = 0
+                  THEN xor(v, ascii(substr(CAST(conv_id AS VARCHAR), k // 8 + 1, 1))::BIGINT)
+                  ELSE v END AS x FROM crc WHERE k < bits)),
+hs AS (SELECT conv_id, xor(v, 4294967295) % 6 AS h FROM crc WHERE k = bits),
+built AS (
+  SELECT o.conv_id, list_concat(coalesce(f.ts, [])[1:h], o.ts[h + 1:]) AS ts
+  FROM own o JOIN hs USING (conv_id) LEFT JOIN own f ON f.conv_id = o.conv_id - o.conv_id % 100),
+steps AS (
+  SELECT conv_id, len(ts) AS n, d, ts[d].size AS size,
+         array_to_string(list_transform(ts[:d], lambda t: t.name), '') AS k,
+         CASE WHEN d > 0 THEN
+           array_to_string(list_transform(ts[:d - 1], lambda t: t.name), '') END AS parent
+  FROM built, unnest(range(0, len(ts) + 1)) AS u(d)),
+nodes AS (
+  SELECT k, any_value(d) AS depth, any_value(parent) AS parent, min(conv_id) AS conv_id,
+         count(*) AS n_convs, (count(*) - 1) * coalesce(any_value(size), 0) AS own,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                         FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM steps GROUP BY k),
+kids AS (SELECT parent AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+below AS (
+  SELECT substr(n.k, 1, 32 * CAST(u.d AS BIGINT)) AS k, sum(own) AS saved_tokens,
+         count(*) FILTER (WHERE kids.k IS NULL) AS n_leaves
+  FROM nodes n LEFT JOIN kids USING (k), unnest(range(0, n.depth + 1)) AS u(d) GROUP BY 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+       CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, b.n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b USING (k) LEFT JOIN kids USING (k) LEFT JOIN nodes p ON n.parent = p.k
+"""
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -220,10 +268,12 @@ def llm_queries() -> dict[str, Query]:
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
         "op11_toxicity": op11_toxicity,
+        "op12_prefix_trie": op12_prefix_trie,
     }
 
 
 def llm_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
     return {"op2_decontaminate": OP2_SQL, "op5_embedding_near_dedup": OP5_SQL,
-            "op6_substring_dedup": OP6_SQL, "op9_warc": OP9_SQL, "op10_jaccard_join": OP10_SQL}
+            "op6_substring_dedup": OP6_SQL, "op9_warc": OP9_SQL, "op10_jaccard_join": OP10_SQL,
+            "op12_prefix_trie": OP12_SQL}
