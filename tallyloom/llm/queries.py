@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (archives, decontaminate, importance, jaccard, language, packing, projections,
-               recompression, secrets, suffixes, toxicity, turn_trie)
+from . import (archives, decontaminate, dualtree, importance, jaccard, language, packing,
+               projections, recompression, secrets, suffixes, toxicity, turn_trie)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -255,6 +255,45 @@ FROM nodes n JOIN below b USING (k) LEFT JOIN kids USING (k) LEFT JOIN nodes p O
 """
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return dualtree.rank_documents(table(spark, folder, "documents"),
+                                   table(spark, folder, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS no, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT row_number() OVER () AS item, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM benchmark),
+it AS (SELECT item, item_id, unnest(w) AS t FROM b),
+total AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+tf AS (
+  SELECT no, doc_id, len(w) AS n, t, count(*) AS tf
+  FROM (SELECT no, doc_id, w, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM it)
+  GROUP BY no, doc_id, len(w), t),
+wt AS (
+  SELECT t, CAST(floor(1000 * ln((2 * total.n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))
+                 AS BIGINT) AS w
+  FROM tf, total GROUP BY t, total.n),
+scored AS (
+  SELECT item, item_id, no, doc_id,
+         CAST(sum(wt.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (
+           10 + (90 * tf.n * total.n) // total.l)))) AS BIGINT) AS score
+  FROM it JOIN wt USING (t) JOIN tf USING (t), total GROUP BY item, item_id, no, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, no) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -269,6 +308,7 @@ def llm_queries() -> dict[str, Query]:
         "op10_jaccard_join": op10_jaccard_join,
         "op11_toxicity": op11_toxicity,
         "op12_prefix_trie": op12_prefix_trie,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 
@@ -276,4 +316,4 @@ def llm_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
     return {"op2_decontaminate": OP2_SQL, "op5_embedding_near_dedup": OP5_SQL,
             "op6_substring_dedup": OP6_SQL, "op9_warc": OP9_SQL, "op10_jaccard_join": OP10_SQL,
-            "op12_prefix_trie": OP12_SQL}
+            "op12_prefix_trie": OP12_SQL, "op13_ranked_search": OP13_SQL}
