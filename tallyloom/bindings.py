@@ -236,15 +236,15 @@ def inventory(t: Tables) -> DataFrame:
     )
 
 
-def _message(event: Column, at: Column, copy: Column | int = 0) -> list[Column]:
-    """A message's position is exact: two places for each line, the second for a copy."""
+def _message(event: Column, at: Column, copy: Column | int = 0, places: int = 2) -> list[Column]:
+    """A message's position is exact: some places for each line, those behind for copies."""
     copy = copy if isinstance(copy, Column) else F.lit(copy)
     return [
         F.col("invoice_id").cast("binary").alias("key"),
         event.cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         (F.col("l_orderkey") % 8).cast("int").alias("partition"),
-        (F.col("line") * 2 + copy).alias("offset"),
+        (F.col("line") * places + copy).alias("offset"),
         at.cast("timestamp").alias("timestamp"),
     ]
 
@@ -280,6 +280,31 @@ def correction_messages(t: Tables, finished: bool | None = None) -> DataFrame:
     return lines.select(*_message(event, F.col("l_shipdate"), F.col("copy")))
 
 
+REVISIONS = 3
+
+
+def revision_messages(t: Tables, revision: int) -> DataFrame:
+    """Every line again, changed once more in each revision (the last one has returned lines
+    only). Of a line's revisions any may be the newest: its time goes by line number, so that
+    many arrive late."""
+    lines = _sales_lines(t)
+    if revision == REVISIONS - 1:
+        lines = lines.filter("l_returnflag = 'R'")
+    days = ((F.col("l_linenumber") + 2 * revision) % REVISIONS).cast("int")
+    at = F.date_add(F.col("l_shipdate").cast("date"), days).cast("timestamp")
+    fields = {c: _text(c) for c in TRANSACTION_FIELDS}
+    fields["quantity"] = _text(F.col("quantity") + 1 + revision)
+    event = F.to_json(F.struct(
+        F.concat_ws("-", F.lit("V"), _text("line"), F.lit(str(revision))).alias("event_id"),
+        F.lit(EVENT_TYPE).alias("event_type"),
+        F.concat(iso_text(at), F.lit("+00:00")).alias("event_timestamp"),
+        F.lit("till").alias("source"),
+        F.lit("revisions.csv").alias("source_file"),
+        F.struct(*[v.alias(k) for k, v in fields.items()]).alias("transaction"),
+    ))
+    return lines.select(*_message(event, at, revision, REVISIONS))
+
+
 def defective_messages(t: Tables) -> DataFrame:
     """One message per line; its line number and return flag decide what is wrong with it."""
     lines = _sales_lines(t).withColumn(

@@ -378,6 +378,33 @@ FROM (SELECT *, CAST(value AS DECIMAL(18,2)) AS amount FROM events)"""
 CTES["enveloped"] = _contract("envelopes")
 
 
+#: Every line again in up to three revisions; see bindings.revision_messages.
+_REVISED = f"""
+SELECT sales_date, {_IDS}, CAST(quantity + 1 + rev AS INTEGER) AS quantity, {_MONEY},
+       'streaming' AS record_source,
+       'V-' || line || '-' || rev AS source_record_id,
+       'revisions.csv' AS source_file,
+       CAST(CAST(l_shipdate AS DATE)
+            + CAST((l_linenumber + 2 * rev) % 3 AS INTEGER) AS TIMESTAMP)
+         AS source_event_timestamp, rev
+FROM sold, (SELECT 0 AS rev UNION ALL SELECT 1 UNION ALL SELECT 2)
+WHERE rev < 2 OR l_returnflag = 'R'"""
+
+_UNIFIED_REVISIONS = f"""
+SELECT * FROM (
+  SELECT {_BUSINESS}, 'batch' AS record_source,
+         CAST(raw_record_id AS VARCHAR) AS source_record_id, source_file,
+         CAST(NULL AS TIMESTAMP) AS source_event_timestamp, ingested_at, -1 AS rev
+  FROM stg_sales
+  UNION ALL
+  SELECT {_BUSINESS}, record_source, source_record_id, source_file,
+         source_event_timestamp, NULL, rev FROM ({_REVISED}))
+QUALIFY row_number() OVER (
+  PARTITION BY invoice_id, product_id
+  ORDER BY rev < 0, source_event_timestamp DESC NULLS LAST, rev DESC, ingested_at DESC,
+           source_record_id DESC) = 1"""
+
+
 def select(final: str) -> str:
     chain = ",\n".join(f"{name} AS ({body})" for name, body in CTES.items())
     return f"WITH {chain}\n{final}"
@@ -546,6 +573,16 @@ def all_sql() -> dict[str, str]:
                      AS duplicates,
                    count(error_type) AS dead_letters
             FROM judged""",
+        "stream_sync_incremental": CTES["fact_sales"].replace(
+            "FROM stg_sales_unified s", f"FROM ({_UNIFIED_REVISIONS}) s").replace(
+            "SELECT md5", "SELECT * EXCLUDE (ingested_at, gross_margin_pct) FROM (SELECT md5", 1)
+            + ")",
+        "stream_sync_counts": f"""
+            SELECT name, n AS held, n AS counted FROM (
+              SELECT 'sales_events' AS name, count(*) AS n FROM ({_REVISED})
+              UNION ALL SELECT 'stg_sales_streaming', count(*) FROM ({_REVISED})
+              UNION ALL SELECT 'stg_sales_unified', count(*) FROM stg_sales_unified
+              UNION ALL SELECT 'fact_sales', count(*) FROM stg_sales_unified)""",
         "sales_to_events": f"""
             SELECT invoice_id AS "key", '{EVENT_TYPE}' AS event_type, source_file,
                    {_RAW_TEXT} FROM stg_sales""",

@@ -48,7 +48,7 @@ def _write_raw(lake: Lake, files: list, feed: Feed, run_ids: dict[str, int]) ->
     Returns the rows by run, counted from what was written.
     """
     spark = lake.spark
-    landing = lake.path("landing", feed.table)
+    landing = lake.path("landing", f"{feed.table}/run={min(run_ids.values())}")
     with_scan_id(_scan(lake, files, feed)).write.mode("overwrite").parquet(landing)
     by_file = spark.createDataFrame(
         [(f["path"].rsplit("/", 1)[-1], run_ids[f["source_name"]]) for f in files],
@@ -66,11 +66,34 @@ def _write_raw(lake: Lake, files: list, feed: Feed, run_ids: dict[str, int]) ->
         F.current_timestamp().alias("ingested_at"))
     lake.write_partitions(rows, "raw", feed.table, "pipeline_run_id")
     written = lake.read("raw", feed.table).filter(
-        F.col("pipeline_run_id").between(min(run_ids.values()), max(run_ids.values())))
+        F.col("pipeline_run_id").isin(list(run_ids.values())))
     counted = written.groupBy("pipeline_run_id").count().collect()  # one row per file
     return {r["pipeline_run_id"]: r["count"] for r in counted}
 
 
+def _clear_landing(lake: Lake, ledger: Ledger, table: str) -> None:
+    """Remove what ended loads have landed. Loads that run at once land in folders of their own."""
+    landed = [int(n[4:]) for n in lake.store.names(f"landing/{table}") if n.startswith("run=")]
+    ended = ledger.runs().where(F.col("run_id").isin(landed) & (F.col("status") != "RUNNING"))
+    for r in ended.select("run_id").collect() if landed else []:
+        lake.store.delete(f"landing/{table}/run={r['run_id']}")
+
+
+def recover_loads(lake: Lake, spare_seconds: float = 24 * 3600) -> list[int]:
+    """Give up loads that began, never ended and are older than `spare_seconds`: their process
+    is gone. What they wrote was never active; it is removed and the runs are FAILED."""
+    ledger = Ledger(lake)
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("started_at")
+    lost = [r["run_id"] for r in ledger.runs().where(
+        (F.col("status") == "RUNNING") & (age >= spare_seconds)).select("run_id").collect()]
+    for run in lost:
+        for feed in FEEDS.values():
+            lake.store.delete(f"raw/{feed.table}/pipeline_run_id={run}")
+            lake.store.delete(f"landing/{feed.table}/run={run}")
+    ledger.fail(lost, "abandoned: the load never ended")
+    return lost
+
+
 def _write_all(lake: Lake, ledger: Ledger, group: list, feed: Feed, run_ids: dict[str, int],
                ) -> Iterator[tuple[list, dict[int, int]]]:
     """(files, rows by run) of what is written: all files in one job, or, if that breaks,
@@ -118,6 +141,7 @@ def load_files(lake: Lake, pipeline: str, files: DataFrame) -> list[tuple]:
     try:
         for table in dict.fromkeys(f["table"] for f in fresh):
             group = [f for f in fresh if f["table"] == table]
+            _clear_landing(lake, ledger, table)
             run_ids = ledger.start(pipeline, group)
             for part, loaded in _write_all(lake, ledger, group, FEEDS[table], run_ids):
                 for f in part:

@@ -18,11 +18,44 @@ MARTS = ["dim_date", "dim_product", "dim_distributor", "dim_salesperson", "dim_o
          "fact_sales", "fact_inventory", "fact_sales_target"]
 
 
+#: What each model reads besides RAW tables; models of one level are built at the same time.
+NEEDS = {
+    "stg_sales_unified": ["stg_sales", "stg_sales_streaming"],
+    "dim_date": ["stg_sales", "stg_target", "stg_inventory"],
+    **{f"dim_{n}": [f"stg_{n}"] for n in ("product", "distributor", "salesperson", "outlet")},
+    "fact_sales": ["stg_sales_unified", "dim_date", "dim_product", "dim_distributor",
+                   "dim_salesperson", "dim_outlet"],
+    "fact_inventory": ["stg_inventory", "dim_date", "dim_distributor", "dim_product"],
+    "fact_sales_target": ["stg_target", "dim_date", "dim_salesperson"],
+}
+
+#: The RAW table of each staged one.
+RAW = {"stg_sales_streaming": "sales_events", **{f"stg_{t}": t for t in (
+    "sales", "product", "distributor", "salesperson", "outlet", "target", "inventory")}}
+
+#: Models that lie in hash buckets of their key, so that a sync can replace single ones.
+BUCKETED = {"stg_sales_unified": ["invoice_id", "product_id"],
+            "fact_sales": ["invoice_id", "product_id"]}
+
+
+def levels(chosen: list[str], bounds: list[tuple[str, str]] | None = None) -> list[list[str]]:
+    """The chosen models, each after what it reads."""
+    needs = {**NEEDS, "dim_date": NEEDS["dim_date"] + [m for m, _ in bounds or []]}
+    left, done, out = list(chosen), set(STAGING + MARTS) - set(chosen), []
+    while left:
+        ready = [m for m in left if done.issuperset(needs.get(m, []))]
+        out.append(ready)
+        done |= set(ready)
+        left = [m for m in left if m not in ready]
+    return out
+
+
 class Models:
     """Named lookup of RAW tables (`source`) and models (`ref`), built on first use.
 
-    `sources` maps a RAW name to a DataFrame, or to a function that makes it. `given` holds models that exist already
-    (marts read back from disk), so that a subset can be built on top of them.
+    `sources` maps a RAW name to a DataFrame, or to a function that makes it. `given` holds
+    models that exist already (marts read back from disk), so that a subset can be built on
+    top of them.
     `bounds` are extra (model, column) pairs for the calendar; by default it spans
     batch sales, targets and inventory only, and stream dates outside get a NULL key.
     """
@@ -30,7 +63,9 @@ class Models:
     def __init__(self, sources: dict[str, DataFrame | Callable[[], DataFrame]],
                  given: dict[str, DataFrame] | None = None,
                  bounds: list[tuple[str, str]] | None = None,
-                 exact_margin: bool = True):
+                 exact_margin: bool = True, rows: dict[str, int] | None = None):
+        #: rows of RAW tables and models, where they were counted while writing
+        self.rows = dict(rows or {})
         self._sources = dict(sources)
         self._built = dict(given or {})
         self._bounds = [("stg_sales", "sales_date"), ("stg_target", "month_start"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from .operators.staging import EVENT_PAYLOAD_SCHEMA, stage_events
 from .plans.ingest import load_files, sales_files
 from .plans.jobs import build
 from .plans.models import MARTS, STAGING, Models
+from .plans.sync import merge_new_events
 from .schemas import ENTITIES, FEEDS, SALES_PIPELINE, TRANSACTION_FIELDS
 from .session import configure, work_dir
 from .sources.events import read_events, sales_to_events
@@ -20,6 +22,7 @@ from .sources.files import file_rows, fingerprint
 from .sources.layers import Lake
 from .sources.ledger import Ledger
 from .streaming.contract import split, to_dlq, validate, with_decoder_text
+from .streaming.index import EventIndex
 from .streaming.sink import compact_index, raw_events, run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +144,39 @@ def _sink_new_checkpoint(t: b.Tables) -> DataFrame:
     return inbox.stored()
 
 
+def _synced(t: b.Tables) -> Lake:
+    """A full build over the first revision of every line, then a sync for each later one."""
+    inbox = _Inbox(t.spark).send(b.revision_messages(t, 0))
+    inbox.run()
+    lake, streams = inbox.lake, EventIndex(inbox.lake).stored()
+    build(lake, {**b.sources(t), "sales_events": raw_events(lake, streams)},
+          [m for m in STAGING + MARTS if m not in ("fact_inventory", "fact_sales_target")],
+          streams=streams)
+    for revision in range(1, b.REVISIONS):
+        inbox.send(b.revision_messages(t, revision)).run()
+        merge_new_events(lake, lake.snapshot(), EventIndex(lake).stored(),
+                         lambda m, only: quality.run_tests(m.ref, only))
+    return lake
+
+
+def _stream_sync(t: b.Tables) -> DataFrame:
+    """The sales fact after incremental syncs, without the clock and the exact margin."""
+    return _synced(t).mart("fact_sales").drop("ingested_at", "gross_margin_pct")
+
+
+def _synced_counts(t: b.Tables) -> DataFrame:
+    """What the syncs have counted, beside what the files hold."""
+    lake = _synced(t)
+    snapshot, rows = lake.snapshot(), lake.snapshot().rows()
+    both = [(n, rows[n]) for n in ("sales_events", "stg_sales_streaming", "stg_sales_unified",
+                                   "fact_sales")]
+    counted = t.spark.createDataFrame(both, "name string, counted bigint")
+    held = [raw_events(lake).select(F.lit("sales_events").alias("name"))] + [
+        snapshot.table(n).select(F.lit(n).alias("name")) for n, _ in both[1:]]
+    return reduce(DataFrame.unionByName, held).groupBy("name").agg(
+        F.count(F.lit(1)).alias("held")).join(counted, "name")
+
+
 def _stream_counters(t: b.Tables) -> DataFrame:
     """Four triggers, and a run that ends after the first of them."""
     inbox = _Inbox(t.spark)
@@ -227,7 +263,7 @@ def _over_build(fn: Callable[[Models], DataFrame], select: list[str] | None = No
 
 
 def _counts(m: Models) -> DataFrame:
-    return reconcile.layer_counts(m.source, m.ref)
+    return reconcile.layer_counts(m.source, m.ref, m.rows)
 
 
 def all_queries() -> dict[str, Query]:
@@ -255,6 +291,8 @@ def all_queries() -> dict[str, Query]:
         "event_sink_positions": _over_tables(_sink_positions),
         "event_sink_new_checkpoint": _over_tables(_sink_new_checkpoint),
         "stream_counters": _over_tables(_stream_counters),
+        "stream_sync_incremental": _over_tables(_stream_sync),
+        "stream_sync_counts": _over_tables(_synced_counts),
         "sales_to_events": _over_tables(_sales_to_events),
         "ingest_sales": _over_tables(_ingest_sales),
         "ingest_twice": _over_tables(_ingest_twice),

@@ -8,15 +8,24 @@ from pyspark.sql import types as T
 
 from ..operators.versioning import active_state, backfill, current_runs, seed_state
 from ..schemas import RUN_LOG_SCHEMA, STATE_LOG_SCHEMA
+from .commits import CommitLog
 from .layers import Lake
 
 
 class Ledger:
-    """One job at a time writes here, so ids are the last one plus one."""
+    """Entries are only added. Ids are taken from a counter in a commit log before they are
+    used, so loads that run at once never share one."""
 
     def __init__(self, lake: Lake):
         self.lake, self.spark = lake, lake.spark
 
+    def _take(self, counter: str, count: int, log: DataFrame, column: str) -> int:
+        """The first of `count` new ids; they follow those of the log and of the counter."""
+        used = log.agg(F.coalesce(F.max(column), F.lit(0))).first()[0]
+        ids = CommitLog(self.spark, self.lake.path("metadata", f"counters/{counter}"))
+        _, taken = ids.update(lambda d: {"last": max(d.get("last", 0), used) + count})
+        return taken["last"] - count + 1
+
     def run_log(self) -> DataFrame:
         return self.lake.log("pipeline_runs", RUN_LOG_SCHEMA)
 
@@ -43,8 +52,8 @@ class Ledger:
 
     def start(self, pipeline: str, files: list) -> dict[str, int]:
         """RUNNING entries for the files of a load; run ids by source name."""
-        last = self.run_log().agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0]
-        ids = {f["source_name"]: last + i for i, f in enumerate(files, start=1)}
+        first = self._take("run_id", len(files), self.run_log(), "run_id")
+        ids = {f["source_name"]: first + i for i, f in enumerate(files)}
         self._append([dict(
             run_id=ids[f["source_name"]], pipeline_name=pipeline,
             source_name=f["source_name"], source_hash=f["sha256"],
@@ -66,7 +75,7 @@ class Ledger:
         """Make (source, run, hash) the versions the current tables show."""
         if not versions:
             return
-        seq = self.state_log().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
+        seq = self._take("state_seq", 1, self.state_log(), "seq")
         rows = [(pipeline, source, run, sha, None, seq) for source, run, sha in versions]
         df = self.spark.createDataFrame(rows, STATE_LOG_SCHEMA)
         self.lake.append_log(
@@ -75,8 +84,7 @@ class Ledger:
     def seed(self) -> DataFrame:
         """Make the latest hashed successful run of every source its active version; sources
         without one stay as they are. Returns the state."""
-        log = self.state_log()
-        seq = log.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
+        seq = self._take("state_seq", 1, self.state_log(), "seq")
         kept = self.lake.path("metadata", "seeded_state")
         rows = seed_state(self.runs()).withColumn(
             "last_observed_at", F.current_timestamp()).withColumn(

@@ -2,28 +2,26 @@
 
 An event is stored once for ever: no second event with its id, none with its position, and of
 several copies the first arrival (the lowest position) stays. A batch is ranked first, then
-anti-joined with an index of all ids and positions stored so far. The index is slim (a text
-key), lies in hash buckets of which a batch reads only those its own keys fall into, and is
-shared by all streams that write to the lake, whichever checkpoint they have.
-
-Outputs are Parquet partitions by stream and batch: a repeated batch replaces itself, and a
-new checkpoint starts a new stream, so it never touches what others have stored. Counters are
-written with each batch. Streams of one lake take turns; two batches at the same time could
-both store an event.
+anti-joined with the index of all ids and positions stored so far (see index.py). All streams
+that write to the lake share the index, whichever checkpoint they have, and may run at once.
+
+Outputs are Parquet partitions by stream and batch, written before the batch is committed to
+the index: a repeated batch replaces what it has written, a committed one is not touched again,
+and readers see committed batches only. Counters are written with each batch.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.unify import first_by
 from ..sources.layers import Lake
-from .contract import (dlq_messages, position_text, split, to_dlq, to_raw_events,
-                       validate, with_decoder_text)
+from .contract import dlq_messages, split, to_dlq, to_raw_events, validate, with_decoder_text
+from .index import EventIndex, entries, id_key, position_key
 
 RAW_EVENTS_SCHEMA = (
     "streaming_record_id bigint, event_id string, event_type string, "
@@ -41,24 +39,35 @@ METRICS_SCHEMA = (
     "stream_id string, batch_id bigint, processed bigint, inserted bigint, "
     "duplicates bigint, dead_letters bigint, recorded_at timestamp"
 )
-INDEX_SCHEMA = "key string, bucket int, stream_id string, batch_id bigint"
-COMPACTED_SCHEMA = "build bigint, stream_id string, batch_id bigint"
 
 EVENTS, DEAD, METRICS = "sales_events", "sales_dead_letters", "stream_batches"
-INDEX, COMPACTED = "sales_event_index", "sales_event_index_builds"
 BATCH = ["stream_id", "batch_id"]
 
-#: Part of the index's layout: changing it needs a new index.
-INDEX_BUCKETS = 64
-
 
 class EnoughBatches(Exception):
     """Ends a run that was asked for a number of batches; the next batch is not touched."""
 
 
-def raw_events(lake: Lake) -> DataFrame:
-    """All stored events. The files are listed once, here: later batches don't show."""
-    return lake.read("raw", EVENTS, RAW_EVENTS_SCHEMA)
+def _between(upto: dict[str, int], after: dict[str, int]) -> Column:
+    """Whether a batch is one of these, by stream."""
+    wanted = [(F.col("stream_id") == s) & (F.col("batch_id") <= n)
+              & (F.col("batch_id") > after.get(s, -1))
+              for s, n in upto.items() if n > after.get(s, -1)]
+    return reduce(Column.__or__, wanted, F.lit(False))
+
+
+def raw_events(lake: Lake, upto: dict[str, int] | None = None,
+               after: dict[str, int] | None = None) -> DataFrame:
+    """The stored events of committed batches. The files are listed once, here: later batches
+    don't show. `upto` and `after` bound the batches by stream."""
+    upto = EventIndex(lake).stored() if upto is None else upto
+    return lake.read("raw", EVENTS, RAW_EVENTS_SCHEMA).where(_between(upto, after or {}))
+
+
+def stored_rows(lake: Lake, upto: dict[str, int], after: dict[str, int]) -> int:
+    """How many events these batches have stored, by their own counters."""
+    batches = stream_batches(lake).where(_between(upto, after))
+    return batches.agg(F.coalesce(F.sum("inserted"), F.lit(0))).first()[0]
 
 
 def dead_letters(lake: Lake) -> DataFrame:
@@ -78,66 +87,15 @@ def first_arrivals(valid: DataFrame) -> DataFrame:
     return first_by(once, ["event_id"], position)
 
 
-def _id_key() -> Column:
-    return F.concat(F.lit("e"), "event_id")
-
-
-def _position_key() -> Column:
-    return F.concat(F.lit("p"), position_text())
-
-
-def _bucket(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(INDEX_BUCKETS)).cast("int")
-
-
-def index_entries(events: DataFrame) -> DataFrame:
-    """(key, bucket): the id and the position of every event."""
-    keys = events.select(F.explode(F.array(_id_key(), _position_key())).alias("key"))
-    return keys.withColumn("bucket", _bucket(F.col("key")))
-
-
-def _index(lake: Lake) -> DataFrame:
-    """The index: the last compacted build and the batches after it."""
-    builds = lake.log(COMPACTED, COMPACTED_SCHEMA)
-    last = builds.agg(F.max("build")).first()[0]
-    live = lake.read("raw", INDEX, INDEX_SCHEMA)
-    if last is None:
-        return live
-    done = builds.filter(F.col("build") == last).collect()  # one row per stream
-    covered = reduce(Column.__or__, [
-        (F.col("stream_id") == r["stream_id"]) & (F.col("batch_id") <= r["batch_id"])
-        for r in done])
-    base = lake.read("raw", f"{INDEX}_builds/build={last}", INDEX_SCHEMA)
-    return base.unionByName(live.filter(~covered))
-
-
 def compact_index(lake: Lake) -> None:
-    """Write the index anew in few files; entries it covers are not read again.
-
-    For quiet times: no stream may write to the lake meanwhile.
-    """
-    spark = lake.spark
-    last = lake.log(COMPACTED, COMPACTED_SCHEMA).agg(
-        F.coalesce(F.max("build"), F.lit(0))).first()[0]
-    index = _index(lake)
-    (index.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-     .parquet(lake.path("raw", f"{INDEX}_builds/build={last + 1}")))
-    streams = index.groupBy("stream_id").agg(F.max("batch_id").alias("batch_id"))
-    covered = streams.select(F.lit(last + 1).cast("bigint").alias("build"), *BATCH)
-    lake.append_log(COMPACTED, spark.createDataFrame(covered.collect(), COMPACTED_SCHEMA))
-
-
-def known_keys(lake: Lake, entries: DataFrame, stream_id: str, batch_id: int) -> DataFrame:
-    """Keys in the index, from the buckets of these entries only, without those that an
-    earlier attempt at the same batch has written."""
-    touched = [r[0] for r in entries.select("bucket").distinct().collect()]  # few numbers
-    own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
-    return _index(lake).filter(F.col("bucket").isin(touched) & ~own).select("key")
+    """Merge the whole index into one run; streams may go on meanwhile."""
+    EventIndex(lake).merge(everything=True)
 
 
 def not_stored(events: DataFrame, known: DataFrame) -> DataFrame:
     """Events of which neither id nor position is known."""
-    marked = events.withColumn("_id_key", _id_key()).withColumn("_position_key", _position_key())
+    marked = events.withColumn("_id_key", id_key()).withColumn(
+        "_position_key", position_key())
     return (marked.join(known.withColumnRenamed("key", "_id_key"), "_id_key", "left_anti")
             .join(known.withColumnRenamed("key", "_position_key"), "_position_key", "left_anti")
             .select(events.columns))
@@ -148,37 +106,59 @@ def _stream_of(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
+def _replace_batch(lake: Lake, df: DataFrame, name: str, stream_id: str, batch_id: int) -> None:
+    """Write the rows of one batch in place of what an earlier attempt has written."""
+    df.write.mode("overwrite").parquet(
+        lake.path("raw", f"{name}/stream_id={stream_id}/batch_id={batch_id}"))
+
+
 def store_batch(lake: Lake, batch: DataFrame, stream_id: str, batch_id: int,
                 consumer_group: str, dlq_kafka: dict[str, str] | None = None) -> None:
     """Store one checked batch: events, index, dead letters, counters."""
-    def tagged(df: DataFrame) -> DataFrame:
-        return df.withColumn("stream_id", F.lit(stream_id)).withColumn(
-            "batch_id", F.lit(batch_id).cast("bigint"))
-
+    index = EventIndex(lake)
+    version, document = index.log.latest()
+    if batch_id <= document.get("stored", {}).get(stream_id, -1):
+        return  # it was committed before the stream broke off
     batch = batch.persist()
-    fresh = None
+    held = [batch]
     try:
         processed, failed = batch.agg(F.count(F.lit(1)), F.count("error_type")).first()
         if not processed:
             return
         valid, invalid = split(batch)
-        known = known_keys(lake, index_entries(valid), stream_id, batch_id)
-        fresh = first_arrivals(not_stored(valid, known)).persist()
-        lake.write_partitions(tagged(to_raw_events(fresh)), "raw", EVENTS, *BATCH)
-        entries = index_entries(fresh).repartition("bucket")
-        lake.write_partitions(tagged(entries), "raw", INDEX, "bucket", *BATCH)
-        dead = tagged(to_dlq(with_decoder_text(invalid), consumer_group))
-        lake.write_partitions(dead, "raw", DEAD, *BATCH)
+        dead = to_dlq(with_decoder_text(invalid), consumer_group)
+        _replace_batch(lake, dead, DEAD, stream_id, batch_id)
         if dlq_kafka:
-            dlq_messages(dead.drop(*BATCH)).write.format("kafka").options(**dlq_kafka).save()
-        inserted = fresh.count()
-        lake.append_log(METRICS, lake.spark.createDataFrame(
-            [(stream_id, batch_id, processed, inserted, processed - failed - inserted, failed)],
-            METRICS_SCHEMA.rpartition(",")[0]).withColumn("recorded_at", F.current_timestamp()))
+            dlq_messages(dead).write.format("kafka").options(**dlq_kafka).save()
+        seen: set[str] = set()
+        fresh, run, inserted = valid, None, -1
+        while True:
+            unseen = [r for r in index.runs(document) if r["id"] not in seen]
+            if inserted < 0 or unseen:
+                known = index.known(unseen, entries(fresh))
+                if inserted < 0:  # copies of stored events must not hide others at their place
+                    fresh = first_arrivals(not_stored(valid, known)).persist()
+                else:
+                    fresh = not_stored(fresh, known)
+                held.append(fresh)
+                counted = Observation()
+                rows = to_raw_events(fresh).observe(counted, F.count(F.lit(1)).alias("rows"))
+                _replace_batch(lake, rows, EVENTS, stream_id, batch_id)
+                inserted = counted.get["rows"]
+                run = index.write(entries(fresh), 2 * inserted) if inserted else None
+                lake.append_log(METRICS, lake.spark.createDataFrame(
+                    [(stream_id, batch_id, processed, inserted,
+                      processed - failed - inserted, failed)],
+                    METRICS_SCHEMA.rpartition(",")[0]).withColumn(
+                    "recorded_at", F.current_timestamp()))
+                seen |= {r["id"] for r in unseen}
+            if index.add(version, document, run, stream_id, batch_id):
+                break
+            version, document = index.log.latest()
+        index.merge()
     finally:
-        batch.unpersist()
-        if fresh is not None:
-            fresh.unpersist()
+        for df in held:
+            df.unpersist()
 
 
 def event_sink(messages: DataFrame, lake: Lake, checkpoint: str, consumer_group: str,
