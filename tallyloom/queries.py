@@ -318,5 +318,6 @@ def all_queries() -> dict[str, Query]:
         "profile_entities": _over_tables(_profile_entities),
         "profile_files": _over_tables(_profile_files),
         "fingerprint": lambda spark, folder: fingerprint(
-            configure(spark), folder, "*.parquet").drop("header", "quoted_newlines"),
+            configure(spark), folder, "*.parquet").drop(
+                "header", "quoted_newlines", "record_starts", "crlf"),
     }

@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 from ..functions.columns import iso_text
 from ..schemas import ENTITIES, FEEDS, SALES_FILE_PATTERN, Feed
 
+HEADER_BYTES = 1 << 20  # a longer first record is no header
+SPLIT_BYTES = 32 << 20  # of files with line breaks inside quotes, for each task
+
 _FINGERPRINT = T.StructType([
     T.StructField("source_name", T.StringType()),
     T.StructField("path", T.StringType()),
@@ -27,51 +30,104 @@ _FINGERPRINT = T.StructType([
     T.StructField("modified_at", T.TimestampType()),
     T.StructField("header", T.ArrayType(T.StringType())),
     T.StructField("quoted_newlines", T.BooleanType()),
+    T.StructField("record_starts", T.ArrayType(T.LongType())),
+    T.StructField("crlf", T.BooleanType()),
 ])
 
 
+def _open(path: str):
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:"):
+        return open("/" + path[5:].lstrip("/"), "rb")
+    uri = re.sub("^s3[an]:", "s3:", path)  # Spark's names for the same store
+    filesystem, inner = pafs.FileSystem.from_uri(uri)
+    return filesystem.open_input_file(inner)
+
+
+class _Quotes:
+    """Follows the quotes of a file through its pieces: where records begin, and whether every
+    quote opens or closes a whole field, so that a count of quotes says what is inside, and all
+    lines end alike."""
+
+    OUTSIDE = np.array([44, 10, 13, 34])  # what may stand before an opening, behind a closing
+
+    def __init__(self, split_bytes: int):
+        self.split, self.at, self.inside, self.before = split_bytes, 0, 0, 10
+        self.regular, self.broken, self.starts = True, False, []
+        self.wanted, self.closing_last = split_bytes, False
+        self.lone, self.crlf, self.return_last = False, False, False
+
+    def piece(self, data: np.ndarray) -> np.ndarray:
+        """Where in the piece line ends stand outside quotes."""
+        quote = data == 34
+        inside = (self.inside + np.cumsum(quote)) & 1
+        line_end = (data == 10) | (data == 13)
+        self.broken = self.broken or bool((inside[line_end] == 1).any())
+        previous = np.concatenate([[self.before], data[:-1]])
+        opening = quote & (inside == 1)
+        if not self.at and data[:4].tobytes() == b'\xef\xbb\xbf"':
+            opening[3] = False  # the mark at the start of a text file
+        closing = np.flatnonzero(quote & (inside == 0))
+        if self.closing_last and data[0] not in self.OUTSIDE:
+            self.regular = False
+        self.closing_last = bool(len(closing)) and closing[-1] == len(data) - 1
+        following = data[closing[closing < len(data) - 1] + 1]
+        if not (np.isin(previous[opening], self.OUTSIDE).all()
+                and np.isin(following, self.OUTSIDE).all()):
+            self.regular = False
+        outside = inside == 0
+        feed, back = (data == 10) & outside, (data == 13) & outside
+        self.crlf = self.crlf or bool((feed & (previous == 13)).any())
+        self.lone = self.lone or bool((feed & (previous != 13)).any())
+        if (self.return_last and data[0] != 10) or (back[:-1] & (data[1:] != 10)).any():
+            self.regular = False
+        self.return_last = bool(back[-1])
+        if self.crlf and self.lone:
+            self.regular = False
+        ends = np.flatnonzero(line_end & outside)
+        while self.wanted <= self.at + len(data):
+            k = np.searchsorted(ends, self.wanted - self.at - 1)
+            if k == len(ends):
+                break
+            self.starts.append(int(self.at + ends[k] + 1))
+            self.wanted = (self.starts[-1] // self.split + 1) * self.split
+        self.at, self.inside, self.before = self.at + len(data), int(inside[-1]), int(data[-1])
+        return ends
+
+
 def fingerprint(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """One row per file: SHA-256 of its bytes, size, modification time, header columns,
-    and whether a quoted field holds a line break.
+    whether a quoted field holds a line break, and where records begin near every multiple of
+    SPLIT_BYTES (null if stray quotes leave that open).
 
     The listing reads no content. Each file is then streamed once in 1 MB pieces, so a
     file may be larger than memory; files spread over tasks by size.
     """
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
               .load(folder).select("path", "length", "modificationTime"))
+    split_bytes = SPLIT_BYTES
 
     def inspect(batches):
-        import pyarrow.fs as pafs
-
-        def stream(path):
-            if path.startswith("file:"):
-                return open("/" + path[5:].lstrip("/"), "rb")
-            uri = re.sub("^s3[an]:", "s3:", path)  # Spark's names for the same store
-            filesystem, inner = pafs.FileSystem.from_uri(uri)
-            return filesystem.open_input_stream(inner)
-
         def read(path):
-            digest, head, in_quotes, broken = hashlib.sha256(), b"", 0, False
-            head_done = False
-            with stream(path) as file:
+            digest, head, head_done, quotes = hashlib.sha256(), b"", False, _Quotes(split_bytes)
+            with _open(path) as file:
                 while piece := file.read(1 << 20):
                     digest.update(piece)
                     data = np.frombuffer(piece, dtype=np.uint8)
-                    open_at = (in_quotes + np.cumsum(data == 34)) & 1
-                    line_ends = (data == 10) | (data == 13)
-                    broken = broken or bool((open_at[line_ends] == 1).any())
-                    if not head_done and 0 in data:
-                        head, head_done = b"\xff", True  # binary: no header
+                    ends = quotes.piece(data)
+                    if not head_done and (0 in data or len(head) > HEADER_BYTES):
+                        head, head_done = b"\xff", True  # binary, or no line at all: no header
                     if not head_done:
-                        ends = np.flatnonzero(line_ends & (open_at == 0))
                         head += piece[: ends[0]] if len(ends) else piece
                         head_done = len(ends) > 0
-                    in_quotes = int(open_at[-1])
             try:
                 rows = list(csv.reader(io.StringIO(head.decode("utf-8-sig"), newline="")))
-            except UnicodeDecodeError:
+            except (UnicodeDecodeError, csv.Error):
                 rows = []  # not a text file: no header
-            return digest.hexdigest(), rows[0] if rows else None, broken
+            known = quotes.regular and not quotes.inside and not quotes.return_last
+            return (digest.hexdigest(), rows[0] if rows else None, quotes.broken,
+                    quotes.starts if known else None, quotes.crlf)
 
         for batch in batches:
             found = [read(path) for path in batch["path"]]
@@ -83,11 +139,59 @@ def fingerprint(spark: SparkSession, folder: str, pattern: str = "*") -> DataFra
                 "modified_at": batch["modificationTime"],
                 "header": [f[1] for f in found],
                 "quoted_newlines": [f[2] for f in found],
+                "record_starts": [f[3] for f in found],
+                "crlf": [f[4] for f in found],
             })
 
     return listed.mapInPandas(inspect, _FINGERPRINT)
 
 
+def records(spark: SparkSession, files: list) -> DataFrame:
+    """(record, source_file, split_start): the data records of files with line breaks inside
+    quotes, each file read by many tasks, from one record start to the next."""
+    ranges = []
+    for f in files:
+        cuts = [0, *(c for c in f["record_starts"] if c < f["size_bytes"]), f["size_bytes"]]
+        ranges += [(f["path"], a, b, f["crlf"]) for a, b in zip(cuts, cuts[1:])]
+
+    def read(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for path, start, end, crlf in zip(*(c.to_pylist() for c in batch.columns)):
+                with _open(path) as file:
+                    file.seek(start)
+                    data = np.frombuffer(file.read(end - start), np.uint8)
+                if not start and data[:3].tobytes() == b"\xef\xbb\xbf":
+                    data = data[3:]
+                outside = (np.cumsum(data == 34) & 1) == 0
+                line_end = ((data == 10) | (data == 13)) & outside
+                kept = np.concatenate([[0], np.cumsum(~line_end)])
+                bounds = np.concatenate([[0], kept[np.flatnonzero(line_end)], kept[-1:]])
+                bounds = bounds[np.concatenate([[True], np.diff(bounds) > 0])]  # no empty lines
+                text = np.ascontiguousarray(data[~line_end])
+                out = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(bounds) - 1,
+                    [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(text)])
+                out = out[1:] if not start else out  # the header
+                name = path.rsplit("/", 1)[-1]
+                for k in range(0, len(out), 50_000):
+                    part = out[k:k + 50_000].cast(pa.binary())
+                    yield pa.record_batch({
+                        "record": part, "source_file": pa.array([name] * len(part)),
+                        "split_start": pa.array([start] * len(part), pa.int64()),
+                        "crlf": pa.array([crlf] * len(part))})
+
+    listed = spark.createDataFrame(ranges, "path string, start long, end long, crlf boolean")
+    found = listed.repartition(max(1, len(ranges))).mapInArrow(
+        read, "record binary, source_file string, split_start long, crlf boolean")
+    text = F.col("record").cast("string")
+    # where lines end in two characters, Spark's reader makes one of them inside quotes as well
+    text = F.when(F.col("crlf"), F.replace(text, F.lit("\r\n"), F.lit("\n"))).otherwise(text)
+    return found.select(text.alias("record"), _decoded("source_file").alias("source_file"),
+                        "split_start")
+
+
 def check_columns(received: list[str] | None, expected: list[str]) -> None:
     """Column names must match as a set; their order does not matter."""
     if received is None:
@@ -116,10 +220,13 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _decoded(column: str) -> Column:
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+
+
 def _place() -> list[Column]:
     """Where a row was read: file name and start of the split within the file."""
-    escaped = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
-    return [F.url_decode(escaped).alias("source_file"),
+    return [_decoded("_metadata.file_name").alias("source_file"),
             F.col("_metadata.file_block_start").alias("split_start")]
 
 
@@ -130,23 +237,39 @@ def _layouts(files: list, feed: Feed) -> dict:
     for f in files:
         header = tuple(name.strip() for name in f["header"] or [])
         check_columns(list(header) or None, feed.source_columns)
-        groups[header, bool(f["quoted_newlines"])].append(f["path"])
+        groups[header, _way(f)].append(f)
     return groups
 
 
+def _way(file) -> str:
+    """How a CSV file is read: by lines, by the record starts found in it, or in one piece."""
+    if not file["quoted_newlines"]:
+        return "lines"
+    return "whole" if file["record_starts"] is None else "records"
+
+
 def scan_csv(spark: SparkSession, files: list, feed: Feed) -> DataFrame:
     """Rows of CSV files as RAW text columns plus source_file and split_start.
 
-    `files` are collected fingerprint rows, one per file. Only files with line breaks
-    inside quotes are read in one piece; all others are split over tasks.
+    `files` are collected fingerprint rows, one per file. Files are split over tasks; those
+    with line breaks inside quotes by record starts, and only if stray quotes leave these open
+    a file is read in one piece.
     """
     parts = []
-    for (header, multi_line), paths in _layouts(files, feed).items():
+    for (header, way), group in _layouts(files, feed).items():
         position = {name: i for i, name in enumerate(header)}
         schema = ", ".join([f"c{i} string" for i in range(len(header))] + ["irregular string"])
-        rows = spark.read.csv(
-            paths, schema=schema, header=True, multiLine=multi_line, escape='"',
-            columnNameOfCorruptRecord="irregular")
+        if way == "records":
+            row = F.from_csv("record", schema, {
+                "escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": "irregular"})
+            rows = records(spark, group).select(row.alias("row"), "source_file", "split_start")
+            rows, place = rows.select("row.*", "source_file", "split_start"), [
+                "source_file", "split_start"]
+        else:
+            rows = spark.read.csv(
+                [f["path"] for f in group], schema=schema, header=True,
+                multiLine=way == "whole", escape='"', columnNameOfCorruptRecord="irregular")
+            place = _place()
         cells = []
         for source, raw, _ in feed.columns:
             cell = F.col(f"c{position[source]}")
@@ -156,7 +279,7 @@ def scan_csv(spark: SparkSession, files: list, feed: Feed) -> DataFrame:
                 cell = F.when(F.col("irregular").isNull(), F.coalesce(cell, F.lit(""))
                               ).otherwise(cell)
             cells.append(cell.alias(raw))
-        parts.append(rows.select(*cells, *_place()))
+        parts.append(rows.select(*cells, *place))
     out = _union(parts)
     return out.na.drop(how="all", subset=feed.raw_columns) if feed.sheet else out
 
@@ -216,10 +339,13 @@ def file_rows(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataF
     """(source_name, rows): records of every CSV file without its header."""
     files = fingerprint(spark, folder, pattern).filter("header is not null").collect()
     parts = []
-    for multi_line in (False, True):
-        paths = [f["path"] for f in files if bool(f["quoted_newlines"]) is multi_line]
-        if paths:
-            parts.append(spark.read.csv(paths, schema="c0 string", header=True, escape='"',
-                                        multiLine=multi_line).select(*_place()))
+    for way in ("lines", "whole", "records"):
+        group = [f for f in files if _way(f) == way]
+        if group and way == "records":
+            parts.append(records(spark, group).select("source_file"))
+        elif group:
+            parts.append(spark.read.csv(
+                [f["path"] for f in group], schema="c0 string", header=True, escape='"',
+                multiLine=way == "whole").select(_place()[0]))
     return _union(parts).groupBy(F.col("source_file").alias("source_name")).agg(
         F.count(F.lit(1)).alias("rows"))
