@@ -18,7 +18,7 @@ MARTS = ["dim_date", "dim_product", "dim_distributor", "dim_salesperson", "dim_o
          "fact_sales", "fact_inventory", "fact_sales_target"]
 
 
-#: What each model reads besides RAW tables; models of one level are built at the same time.
+#: What each model reads besides RAW tables.
 NEEDS = {
     "stg_sales_unified": ["stg_sales", "stg_sales_streaming"],
     "dim_date": ["stg_sales", "stg_target", "stg_inventory"],
@@ -38,16 +38,16 @@ BUCKETED = {"stg_sales_unified": ["invoice_id", "product_id"],
             "fact_sales": ["invoice_id", "product_id"]}
 
 
-def levels(chosen: list[str], bounds: list[tuple[str, str]] | None = None) -> list[list[str]]:
-    """The chosen models, each after what it reads."""
+#: These take longest and others wait for them, so they begin first.
+LONG = ["stg_sales_streaming", "stg_sales", "stg_inventory", "stg_target"]
+
+
+def ready(left: list[str], done: set[str],
+          bounds: list[tuple[str, str]] | None = None) -> list[str]:
+    """Which of the models that are left can be built, long ones first."""
     needs = {**NEEDS, "dim_date": NEEDS["dim_date"] + [m for m, _ in bounds or []]}
-    left, done, out = list(chosen), set(STAGING + MARTS) - set(chosen), []
-    while left:
-        ready = [m for m in left if done.issuperset(needs.get(m, []))]
-        out.append(ready)
-        done |= set(ready)
-        left = [m for m in left if m not in ready]
-    return out
+    able = [m for m in left if done.issuperset(needs.get(m, []))]
+    return sorted(able, key=lambda m: LONG.index(m) if m in LONG else len(LONG))
 
 
 class Models:

@@ -312,7 +312,7 @@ def all_queries() -> dict[str, Query]:
         "row_count_pairs": _over_build(
             lambda m: quality.count_mismatch(m.ref("stg_sales"), m.ref("fact_sales")),
             [x for x in STAGING + MARTS if x not in ("fact_inventory", "fact_sales_target")]),
-        "run_tests": _over_build(lambda m: quality.run_tests(m.ref)),
+        "run_tests": _over_build(lambda m: quality.run_tests(m.ref, rows=m.rows)),
         "reconcile": _over_build(lambda m: reconcile.reconcile(_counts(m))),
         "count_report": _over_build(lambda m: reconcile.count_report(_counts(m))),
         "profile_entities": _over_tables(_profile_entities),

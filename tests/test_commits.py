@@ -11,7 +11,7 @@ from test_contract import event
 from tallyloom.plans import ingest
 from tallyloom.plans.ingest import recover_loads
 from tallyloom.plans.jobs import build
-from tallyloom.plans.models import MARTS, STAGING, levels
+from tallyloom.plans.models import MARTS, STAGING, ready
 from tallyloom.schemas import MESSAGE_SCHEMA
 from tallyloom.sources.commits import CommitLog, Conflict
 from tallyloom.sources.ledger import Ledger
@@ -113,12 +113,18 @@ def test_buckets_hold_their_keys(spark, lake):
     assert lake.read_entry(entry).agg(F.sum("id")).first()[0] == 499 * 250
 
 
-def test_levels_follow_what_models_read():
-    order = levels(STAGING + MARTS)
+def test_models_wait_for_what_they_read():
+    left, done, order = STAGING + MARTS, set(), []
+    while left:
+        able = ready(left, done)
+        order.append(able)
+        done |= set(able)
+        left = [m for m in left if m not in able]
     place = {m: i for i, level in enumerate(order) for m in level}
     assert set(place) == set(STAGING + MARTS) and len(order) == 3
     assert place["stg_sales_unified"] == place["dim_date"] == 1 and place["fact_sales"] == 2
-    assert levels(["fact_sales"]) == [["fact_sales"]]
+    assert order[0][0] == "stg_sales_streaming"
+    assert ready(["dim_date"], set(STAGING) - {"stg_outlet"}, [("stg_outlet", "x")]) == []
 
 
 def test_loads_at_once_take_different_ids(lake):
