@@ -280,6 +280,27 @@ def correction_messages(t: Tables, finished: bool | None = None) -> DataFrame:
     return lines.select(*_message(event, F.col("l_shipdate"), F.col("copy")))
 
 
+#: Days of five batches; copies may come within one day of their first event.
+HORIZON, HORIZON_DAYS = "1 day", [0, 0, 10, 20, 30]
+
+
+def horizon_messages(t: Tables, batch: int) -> DataFrame:
+    """All lines; returned ones again within the horizon; two batches of other lines that move
+    time on; returned ones once more, beyond the horizon."""
+    flag = [None, "R", "A", "N", "R"][batch]
+    lines = _sales_lines(t)
+    if flag:
+        lines = lines.filter(F.col("l_returnflag") == flag)
+    at = F.timestamp_seconds(F.lit(1_704_067_200 + HORIZON_DAYS[batch] * 86_400 + 60 * batch))
+    transaction = F.struct(*[_text(c).alias(c) for c in TRANSACTION_FIELDS])
+    event = F.to_json(F.struct(
+        F.concat_ws("-", F.lit("M" if batch in (2, 3) else "L"), _text("line")).alias("event_id"),
+        F.lit(EVENT_TYPE).alias("event_type"),
+        F.concat(iso_text(at), F.lit("+00:00")).alias("event_timestamp"),
+        F.lit("till").alias("source"), transaction.alias("transaction")))
+    return lines.select(*_message(event, at, batch, len(HORIZON_DAYS)))
+
+
 REVISIONS = 3
 
 

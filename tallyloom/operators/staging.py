@@ -53,15 +53,22 @@ def accepted(raw: DataFrame, table: str) -> DataFrame:
     return stage(raw.filter(F.size(bad) == 0), table, tolerant=True)
 
 
+def with_transaction(raw_events: DataFrame) -> DataFrame:
+    """Events with the fields of their transaction as text. The sink stores them so: a payload
+    is parsed once, not in every build."""
+    if "transaction" in raw_events.columns:
+        return raw_events
+    return raw_events.withColumn(
+        "transaction", F.from_json("payload", EVENT_PAYLOAD_SCHEMA)["transaction"])
+
+
 def stage_events(raw_events: DataFrame, tolerant: bool = False) -> DataFrame:
     """Typed sales columns of stored events. Blank ids stay '' here, unlike batch staging."""
     feed = FEEDS["sales"]
-    parsed = raw_events.withColumn(
-        "t", F.from_json("payload", EVENT_PAYLOAD_SCHEMA)["transaction"]
-    )
+    parsed = with_transaction(raw_events)
 
     def text(raw: str):
-        column = F.col("t").getField(raw)
+        column = F.col("transaction").getField(raw)
         return F.trim(column) if raw.endswith("_id") else column
 
     return parsed.select(*_ENVELOPE, *_typed(feed, text, tolerant), *_POSITION)
@@ -69,9 +76,6 @@ def stage_events(raw_events: DataFrame, tolerant: bool = False) -> DataFrame:
 
 def rejected_events(raw_events: DataFrame) -> DataFrame:
     """Stored events that passed the contract but do not cast."""
-    parsed = raw_events.withColumn(
-        "t", F.from_json("payload", EVENT_PAYLOAD_SCHEMA)["transaction"]
-    )
-    bad = _bad_columns(FEEDS["sales"], lambda c: F.col("t").getField(c))
-    return (parsed.withColumn("bad_columns", bad)
-            .filter(F.size("bad_columns") > 0).drop("t"))
+    bad = _bad_columns(FEEDS["sales"], lambda c: F.col("transaction").getField(c))
+    return (with_transaction(raw_events).withColumn("bad_columns", bad)
+            .filter(F.size("bad_columns") > 0).drop("transaction"))

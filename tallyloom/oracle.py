@@ -573,6 +573,21 @@ def all_sql() -> dict[str, str]:
                      AS duplicates,
                    count(error_type) AS dead_letters
             FROM judged""",
+        "dedup_within_horizon": """
+            SELECT CASE WHEN batch IN (2, 3) THEN 'M-' ELSE 'L-' END || line AS event_id,
+                   TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (day) DAY
+                     + INTERVAL (batch) MINUTE AS event_timestamp,
+                   CAST(line * 5 + batch AS BIGINT) AS kafka_offset
+            FROM sold JOIN (VALUES (0, 0, NULL), (2, 10, 'A'), (3, 20, 'N'), (4, 30, 'R'))
+              AS b(batch, day, flag) ON flag IS NULL OR flag = l_returnflag""",
+        "audit_failed": f"""
+            SELECT 'sales_batch' AS pipeline, 'lost' AS run_label,
+                   COLUMNS(c.*) AS "\\0_rows",
+                   'FAILED' AS validation_status,
+                   'Inventory row counts do not match.' AS validation_message
+            FROM (SELECT * REPLACE ((SELECT count(*) FROM fact_inventory
+                    WHERE closing_stock = calculated_closing_stock) AS warehouse_inventory)
+                  FROM (SELECT {_LAYER_COUNTS})) c""",
         "stream_sync_incremental": CTES["fact_sales"].replace(
             "FROM stg_sales_unified s", f"FROM ({_UNIFIED_REVISIONS}) s").replace(
             "SELECT md5", "SELECT * EXCLUDE (ingested_at, gross_margin_pct) FROM (SELECT md5", 1)

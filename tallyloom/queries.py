@@ -23,7 +23,7 @@ from .sources.layers import Lake
 from .sources.ledger import Ledger
 from .streaming.contract import split, to_dlq, validate, with_decoder_text
 from .streaming.index import EventIndex
-from .streaming.sink import compact_index, raw_events, run_available
+from .streaming.sink import compact_index, raw_events, run_available, run_within
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,6 +144,26 @@ def _sink_new_checkpoint(t: b.Tables) -> DataFrame:
     return inbox.stored()
 
 
+def _dedup_within(t: b.Tables) -> DataFrame:
+    """Batch by batch with a horizon of a day: copies within it go, those beyond it stay."""
+    inbox = _Inbox(t.spark)
+    for batch in range(len(b.HORIZON_DAYS)):
+        inbox.send(b.horizon_messages(t, batch))
+        stored = run_within(read_events(t.spark, folder=inbox.folder), inbox.lake,
+                            inbox.lake.path("checkpoints", "within"), b.HORIZON)
+    return stored.select("event_id", "event_timestamp", "kafka_offset")
+
+
+def _audit_failed(m: Models) -> DataFrame:
+    """The audit record after months whose stock does not balance were lost, without the clock."""
+    balanced = m.ref("fact_inventory").filter("closing_stock = calculated_closing_stock")
+    rows = {name: n for name, n in m.rows.items() if name != "fact_inventory"}
+    counts = reconcile.layer_counts(
+        m.source, lambda name: balanced if name == "fact_inventory" else m.ref(name), rows)
+    return reconcile.audit_rows(reconcile.reconcile(counts), "sales_batch", "lost").drop(
+        "validated_at")
+
+
 def _synced(t: b.Tables) -> Lake:
     """A full build over the first revision of every line, then a sync for each later one."""
     inbox = _Inbox(t.spark).send(b.revision_messages(t, 0))
@@ -291,6 +311,7 @@ def all_queries() -> dict[str, Query]:
         "event_sink_positions": _over_tables(_sink_positions),
         "event_sink_new_checkpoint": _over_tables(_sink_new_checkpoint),
         "stream_counters": _over_tables(_stream_counters),
+        "dedup_within_horizon": _over_tables(_dedup_within),
         "stream_sync_incremental": _over_tables(_stream_sync),
         "stream_sync_counts": _over_tables(_synced_counts),
         "sales_to_events": _over_tables(_sales_to_events),
@@ -314,6 +335,7 @@ def all_queries() -> dict[str, Query]:
             [x for x in STAGING + MARTS if x not in ("fact_inventory", "fact_sales_target")]),
         "run_tests": _over_build(lambda m: quality.run_tests(m.ref, rows=m.rows)),
         "reconcile": _over_build(lambda m: reconcile.reconcile(_counts(m))),
+        "audit_failed": _over_build(_audit_failed),
         "count_report": _over_build(lambda m: reconcile.count_report(_counts(m))),
         "profile_entities": _over_tables(_profile_entities),
         "profile_files": _over_tables(_profile_files),

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.staging import EVENT_PAYLOAD_SCHEMA, with_transaction
 from ..operators.unify import first_by
 from ..sources.layers import Lake
 from .contract import dlq_messages, split, to_dlq, to_raw_events, validate, with_decoder_text
@@ -27,7 +28,7 @@ RAW_EVENTS_SCHEMA = (
     "streaming_record_id bigint, event_id string, event_type string, "
     "event_timestamp timestamp, source string, source_file string, payload string, "
     "kafka_topic string, kafka_partition int, kafka_offset bigint, "
-    "ingested_at timestamp, stream_id string, batch_id bigint"
+    f"ingested_at timestamp, {EVENT_PAYLOAD_SCHEMA}, stream_id string, batch_id bigint"
 )
 DLQ_SCHEMA = (
     "dlq_event_id string, failed_at timestamp, consumer_group string, "
@@ -41,6 +42,7 @@ METRICS_SCHEMA = (
 )
 
 EVENTS, DEAD, METRICS = "sales_events", "sales_dead_letters", "stream_batches"
+BOUNDED = "sales_events_within"
 BATCH = ["stream_id", "batch_id"]
 
 
@@ -142,7 +144,8 @@ def store_batch(lake: Lake, batch: DataFrame, stream_id: str, batch_id: int,
                     fresh = not_stored(fresh, known)
                 held.append(fresh)
                 counted = Observation()
-                rows = to_raw_events(fresh).observe(counted, F.count(F.lit(1)).alias("rows"))
+                rows = with_transaction(to_raw_events(fresh)).observe(
+                    counted, F.count(F.lit(1)).alias("rows"))
                 _replace_batch(lake, rows, EVENTS, stream_id, batch_id)
                 inserted = counted.get["rows"]
                 run = index.write(entries(fresh), 2 * inserted) if inserted else None
@@ -161,6 +164,31 @@ def store_batch(lake: Lake, batch: DataFrame, stream_id: str, batch_id: int,
             df.unpersist()
 
 
+def first_within(messages: DataFrame, horizon: str, on_poison: str = "dlq") -> DataFrame:
+    """The valid events of a stream of messages, without copies that come within `horizon` of
+    event time after the first one.
+
+    The bounded form of the sink's memory: ids lie in Spark's state store and leave it once the
+    watermark has passed them by the horizon, so the state follows the rate of events and not
+    all history. A copy that comes later is a new event.
+    """
+    valid, _ = split(validate(messages, on_poison))
+    return valid.withWatermark("event_timestamp", horizon).dropDuplicatesWithinWatermark(
+        ["event_id"])
+
+
+def run_within(messages: DataFrame, lake: Lake, checkpoint: str, horizon: str) -> DataFrame:
+    """Store what has arrived by the bounded memory, beside the events that are kept unique for
+    ever; returns all that is stored so. A batch that is repeated replaces itself."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _replace_batch(lake, to_raw_events(batch), BOUNDED, _stream_of(batch), batch_id)
+
+    query = (first_within(messages, horizon).writeStream.foreachBatch(write)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return lake.read("raw", BOUNDED, RAW_EVENTS_SCHEMA)
+
+
 def event_sink(messages: DataFrame, lake: Lake, checkpoint: str, consumer_group: str,
                on_poison: str = "dlq", dlq_kafka: dict[str, str] | None = None,
                trigger: dict | None = None, batches: int | None = None) -> StreamingQuery:

@@ -12,7 +12,7 @@ from tallyloom.sources.events import read_events, sales_to_events
 from tallyloom.streaming.contract import validate
 from tallyloom.streaming.index import EventIndex
 from tallyloom.streaming.sink import (compact_index, dead_letters, raw_events, run_available,
-                                      store_batch, stream_batches)
+                                      run_within, store_batch, stream_batches)
 
 
 class Inbox:
@@ -179,6 +179,31 @@ def test_blank_ids_and_bad_values_of_events(spark, lake):
         stage_events(stored).collect()
 
 
+def test_stored_events_are_parsed_once(spark, lake):
+    Inbox(spark, lake).send(numbered(1, outlet_id=" ", product_id=" P1 "), numbered(2)).run()
+    stored = raw_events(lake)
+    staged = stage_events(stored)
+    assert "from_json" not in staged._jdf.queryExecution().optimizedPlan().toString()
+    parsed = stage_events(stored.drop("transaction"))
+    assert "from_json" in parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, staged.collect())) == sorted(map(str, parsed.collect()))
+
+
+def test_copies_beyond_the_horizon_are_new_events(spark, lake):
+    def at(i, day):
+        return event({"event_id": f"e{i}", "event_timestamp": f"2026-01-{day:02}T00:00:00+00:00"})
+
+    inbox = Inbox(spark, lake)
+    for batch in ([at(1, 1), at(1, 1), at(2, 1)], [at(1, 2), "{bad"], [at(3, 20)], [at(4, 25)],
+                  [at(1, 26), at(3, 21)]):
+        inbox.send(*batch)
+        stored = run_within(read_events(spark, folder=inbox.folder), lake,
+                            lake.path("checkpoints", "within"), "3 days")
+    got = sorted((r["event_id"], r["event_timestamp"].day) for r in stored.collect())
+    assert [e for e, _ in got] == ["e1", "e1", "e2", "e3", "e4"]
+    assert ("e1", 26) in got and ("e1", 2) not in got and ("e3", 21) not in got
+
+
 def test_sales_rows_replay_as_valid_events(spark):
     row = {k: (None if k == "unit_cogs" else v) for k, v in EVENT["transaction"].items()}
     sales = spark.createDataFrame([{**row, "source_file": "f.csv"}] * 3, schema=", ".join(
