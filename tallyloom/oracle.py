@@ -573,6 +573,18 @@ def all_sql() -> dict[str, str]:
                      AS duplicates,
                    count(error_type) AS dead_letters
             FROM judged""",
+        "entity_scan": """
+            SELECT strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS month_start,
+                   'DST' || l_suppkey AS distributor_id, 'P' || l_partkey AS product_id,
+                   regexp_replace(CAST(CAST(l_quantity AS DOUBLE) AS VARCHAR), '\\.0$', '')
+                     AS opening_stock,
+                   regexp_replace(CAST(CAST(l_extendedprice AS DOUBLE) AS VARCHAR), '\\.0$', '')
+                     AS stock_received,
+                   CAST(CAST(l_orderkey AS BIGINT) * 1000000000 AS VARCHAR) AS units_sold,
+                   rtrim(rtrim(CAST(CAST(l_linenumber AS DECIMAL(18,10)) * 0.0009765625
+                     AS VARCHAR), '0'), '.') AS closing_stock,
+                   CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS stock_value
+            FROM lineitem""",
         "dedup_within_horizon": """
             SELECT CASE WHEN batch IN (2, 3) THEN 'M-' ELSE 'L-' END || line AS event_id,
                    TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (day) DAY

@@ -18,7 +18,7 @@ from .plans.sync import merge_new_events
 from .schemas import ENTITIES, FEEDS, SALES_PIPELINE, TRANSACTION_FIELDS
 from .session import configure, work_dir
 from .sources.events import read_events, sales_to_events
-from .sources.files import file_rows, fingerprint
+from .sources.files import file_rows, fingerprint, read_entity
 from .sources.layers import Lake
 from .sources.ledger import Ledger
 from .streaming.contract import split, to_dlq, validate, with_decoder_text
@@ -267,6 +267,22 @@ def _profile_entities(t: b.Tables) -> DataFrame:
     return profiling.profile_entities({" Readme ": t.region, **tables})
 
 
+def _entity_scan(t: b.Tables) -> DataFrame:
+    """A typed export of an entity, a row for each line, with blanks around column names, floats
+    of many sizes, and rows without any value."""
+    folder = f"{work_dir(t.spark, 'export')}/FactInventory.parquet"
+    names = [source for source, _, _ in ENTITIES["FactInventory"].columns]
+    lines = t.lineitem.select(
+        F.col("l_shipdate").cast("timestamp"), F.concat(F.lit("DST"), F.col("l_suppkey")),
+        F.concat(F.lit("P"), F.col("l_partkey")), F.col("l_quantity").cast("double"),
+        F.col("l_extendedprice").cast("double"), F.col("l_orderkey").cast("double") * 1e9,
+        F.col("l_linenumber").cast("double") / 1024, F.col("l_quantity").cast("int"))
+    empty = t.region.select(*[F.lit(None).cast(f.dataType) for f in lines.schema.fields])
+    lines.toDF(*[f" {n} " for n in names]).union(empty).write.parquet(folder)
+    rows = read_entity(t.spark, folder, "FactInventory")
+    return rows.select(ENTITIES["FactInventory"].raw_columns)
+
+
 def _orphans(m: Models) -> DataFrame:
     return quality.orphans(m.ref("stg_sales"), {
         "outlet_id": (m.ref("stg_outlet").filter("channel = 'BUILDING'"), "outlet_id"),
@@ -337,6 +353,7 @@ def all_queries() -> dict[str, Query]:
         "reconcile": _over_build(lambda m: reconcile.reconcile(_counts(m))),
         "audit_failed": _over_build(_audit_failed),
         "count_report": _over_build(lambda m: reconcile.count_report(_counts(m))),
+        "entity_scan": _over_tables(_entity_scan),
         "profile_entities": _over_tables(_profile_entities),
         "profile_files": _over_tables(_profile_files),
         "fingerprint": lambda spark, folder: fingerprint(

@@ -204,6 +204,27 @@ def check_columns(received: list[str] | None, expected: list[str]) -> None:
             f"Expected: {expected} Received: {received}")
 
 
+def _plain_number(text: Column) -> Column:
+    """The text of a float without exponent, every digit kept, and without a fraction that is
+    zero; NaN and infinities stay as they are."""
+    form = r"^(-?)(\d+)\.(\d+)(?:E(-?\d+))?$"
+
+    def part(k: int) -> Column:
+        return F.regexp_extract(text, form, k)
+
+    digits = F.concat(part(2), part(3))
+    point = F.length(part(2)) + F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(0))
+    plain = (
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= F.length(digits),
+              F.concat(digits, F.repeat(F.lit("0"), point - F.length(digits))))
+        .otherwise(F.concat(F.substr(digits, F.lit(1), point), F.lit("."),
+                            F.substr(digits, point + 1))))
+    plain = F.regexp_replace(F.regexp_replace(plain, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    plain = F.concat(part(1), F.regexp_replace(plain, r"^0+(?=\d)", ""))
+    return F.when(F.regexp_like(text, F.lit(form)), plain).otherwise(text)
+
+
 def _canonical(field: T.StructField) -> Column:
     """A typed cell as text: timestamps in ISO form, floats without exponent and without
     a fraction that is zero, as whole numbers of a sheet are stored."""
@@ -211,8 +232,7 @@ def _canonical(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
         return iso_text(c)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        text = c.cast("decimal(38,10)").cast("string")
-        return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+        return _plain_number(c.cast("string"))
     return c.cast("string")
 
 

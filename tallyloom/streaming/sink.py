@@ -12,6 +12,7 @@ and readers see committed batches only. Counters are written with each batch.
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -22,7 +23,7 @@ from ..operators.staging import EVENT_PAYLOAD_SCHEMA, with_transaction
 from ..operators.unify import first_by
 from ..sources.layers import Lake
 from .contract import dlq_messages, split, to_dlq, to_raw_events, validate, with_decoder_text
-from .index import EventIndex, entries, id_key, position_key
+from .index import FOLDER, EventIndex, entries, id_key, position_key
 
 RAW_EVENTS_SCHEMA = (
     "streaming_record_id bigint, event_id string, event_type string, "
@@ -103,6 +104,26 @@ def not_stored(events: DataFrame, known: DataFrame) -> DataFrame:
             .select(events.columns))
 
 
+def sweep_events(lake: Lake, spare_seconds: float = 24 * 3600) -> list[str]:
+    """Remove what batches have written that were never committed, if it is older than
+    `spare_seconds`: their stream is gone for good. Returns the folders."""
+    index = EventIndex(lake)
+    _, document = index.log.latest()
+    stored, over = document.get("stored", {}), []
+    for stream in lake.store.names(f"raw/{EVENTS}"):
+        for batch, at in lake.store.names(f"raw/{EVENTS}/{stream}").items():
+            number = int(batch.partition("=")[2])
+            if (number > stored.get(stream.partition("=")[2], -1)
+                    and time.time() - at >= spare_seconds):
+                over.append(f"raw/{EVENTS}/{stream}/{batch}")
+    known = {r["id"] for r in index.runs(document)} | {i for i, _ in document.get("gone", [])}
+    over += [f"{FOLDER}/{run}" for run, at in lake.store.names(FOLDER).items()
+             if run.partition("=")[2] not in known and time.time() - at >= spare_seconds]
+    for folder in over:
+        lake.store.delete(folder)
+    return over
+
+
 def _stream_of(batch: DataFrame) -> str:
     """The id that the stream's checkpoint keeps for ever."""
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")

@@ -259,6 +259,20 @@ def test_entity_from_csv_and_parquet(spark, lake, tmp_path):
     assert numbers[0]["source_sheet"] == "DimProduct"
 
 
+def test_floats_keep_every_digit(spark):
+    from tallyloom.sources.files import _plain_number
+
+    values = [0.0, -0.0, 1.0, 100.0, 0.1, 1e-7, 1.5e-10, 1e28, 1.2345e300, 123456789.125,
+              -2.5e-5, 9007199254740993.0, 0.30000000000000004, 5e-324, 1e7, 12345678.9]
+    text = F.col("x").cast("string")
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for r in df.select("x", _plain_number(text).alias("t")).collect():
+        assert float(r["t"]) == r["x"] and "E" not in r["t"] and not r["t"].endswith(".0")
+    odd = spark.sql("SELECT double('NaN') x UNION ALL SELECT double('-Infinity')")
+    assert {r["t"] for r in odd.select(_plain_number(text).alias("t")).collect()} == {
+        "NaN", "-Infinity"}
+
+
 def test_fingerprint(spark, tmp_path):
     import hashlib
     write_sales(tmp_path / "f", "FactSales_1.csv")

@@ -18,7 +18,7 @@ from tallyloom.sources.ledger import Ledger
 from tallyloom.streaming import index as index_module
 from tallyloom.streaming.contract import validate
 from tallyloom.streaming.index import EventIndex
-from tallyloom.streaming.sink import raw_events, store_batch, stream_batches
+from tallyloom.streaming.sink import raw_events, store_batch, stream_batches, sweep_events
 
 
 def test_one_writer_makes_a_version(spark, tmp_path):
@@ -221,6 +221,20 @@ def test_a_batch_that_broke_before_its_commit_is_not_seen(spark, lake, monkeypat
     assert sorted(r["event_id"] for r in raw_events(lake).collect()) == ["a", "b", "c"]
 
 
+def test_what_was_never_committed_is_swept(spark, lake, monkeypatch):
+    store_batch(lake, checked(spark, ["a"]), "s", 0, "g")
+    with monkeypatch.context() as m:
+        m.setattr(EventIndex, "add", lambda self, *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store_batch(lake, checked(spark, ["b"], 5), "s", 1, "g")
+    assert sweep_events(lake, 3600) == []
+    gone = sweep_events(lake, 0)
+    assert len(gone) == 2 and any(f.endswith("stream_id=s/batch_id=1") for f in gone)
+    assert [r["event_id"] for r in raw_events(lake).collect()] == ["a"]
+    store_batch(lake, checked(spark, ["a", "b"], 5), "s", 1, "g")
+    assert sorted(r["event_id"] for r in raw_events(lake).collect()) == ["a", "b"]
+
+
 def test_lookups_open_few_files_however_many_batches_there_were(spark, lake, monkeypatch):
     """What a lookup opens depends on the levels only."""
     monkeypatch.setattr(index_module, "SLOT_ROWS", 64)
