@@ -232,7 +232,8 @@ def _canonical(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
         return iso_text(c)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return _plain_number(c.cast("string"))
+        # as a function over one value: written out for each column it is too much code
+        return F.element_at(F.transform(F.array(c.cast("string")), _plain_number), 1)
     return c.cast("string")
 
 
