@@ -90,7 +90,7 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def term_counts(column: pa.Array, seed: int) -> tuple[Words, np.ndarray]:
+def hashed_terms(column: pa.Array, seed: int) -> tuple[Words, np.ndarray]:
     """Words of the texts and the first hash of each."""
     w = Words(*flat(column), ALNUM)
     return w, signed(w.hashes(2 * seed))
@@ -109,7 +109,7 @@ def item_terms(items: DataFrame, seed: int) -> DataFrame:
     """no and both hashes of each distinct term of an item, in order of the first."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            w, first = term_counts(batch.column("text"), seed)
+            w, first = hashed_terms(batch.column("text"), seed)
             pairs = np.stack([w.doc(), first, second_hash(w, np.arange(len(w)), seed)])
             pairs = np.unique(pairs, axis=1) if len(w) else pairs
             counts = np.bincount(pairs[0], minlength=batch.num_rows)
@@ -153,7 +153,7 @@ def vectors(documents: DataFrame, folder: str, paths: list[str], seed: int, key:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, dict] = {}
         for batch in pieces(batches):
-            w, first = term_counts(batch.column("text"), seed)
+            w, first = hashed_terms(batch.column("text"), seed)
             docs, names = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for path in paths:
                 if path not in kept:
