@@ -18,6 +18,8 @@ points from 0, the end exclusive. Other columns don't matter.
 from __future__ import annotations
 
 import math
+import operator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,21 +46,27 @@ MARK = "<secret>"
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
-def running(values: Column) -> Column:
-    """Sums of the values before each place; array of ints in, array of ints out.
+def named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, join: Callable[[Column, Column], Column] = operator.add) -> Column:
+    """Sums, or other joins from 0 on, of the values before each place; ints in, ints out.
 
     In blocks, as every step of an aggregate copies what it has gathered.
     """
     def sums(xs: Column) -> Column:
-        return F.aggregate(xs, F.array(F.lit(0)),
-                           lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+        return F.aggregate(xs, F.array(F.lit(0)), lambda acc, x: F.concat(
+            acc, F.array(join(F.element_at(acc, -1), x))))
 
     blocks = F.transform(F.sequence(F.lit(1), F.size(values), F.lit(BLOCK)),
                          lambda at: sums(F.slice(values, at, F.lit(BLOCK))))
     bases = sums(F.transform(blocks, lambda b: F.element_at(b, -1)))
     return F.flatten(F.zip_with(
         blocks, F.slice(bases, 1, F.size(blocks)),
-        lambda b, base: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda v: v + base)))
+        lambda b, base: F.transform(F.slice(b, F.lit(1), F.size(b) - 1),
+                                    lambda v: join(v, base))))
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -96,11 +104,15 @@ def base_spans(text: Column) -> Column:
 
 
 def transitions(run: Column) -> Column:
-    """The code of each pair of neighbours in a run, the first after a start (code 0)."""
-    return F.transform(
-        F.sequence(F.lit(1), F.length(run)),
-        lambda i: F.when(i > 1, F.ascii(F.substring(run, i - 1, 1))).otherwise(0) * CODES
-        + F.ascii(F.substring(run, i, 1)))
+    """The code of each pair of neighbours in a run, the first after a start (code 0).
+
+    The run is split into characters once, so that the cost is in proportion to its length.
+    """
+    return named(
+        F.transform(F.split(run, ""), lambda c: F.ascii(c)),
+        lambda codes: F.zip_with(
+            F.concat(F.array(F.lit(0)), F.slice(codes, F.lit(1), F.size(codes) - 1)), codes,
+            lambda before, code: before * CODES + code))
 
 
 def train(samples: DataFrame) -> DataFrame:
@@ -184,22 +196,33 @@ def find_secrets(documents: DataFrame, model: list[float], key: str = "doc_id",
         all_spans(F.coalesce(F.col(text), F.lit("")), model).alias("spans"))
 
 
+def part(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points start to end of a text that is given in blocks of BLOCK."""
+    return F.when(start >= end, F.lit("")).otherwise(F.array_join(F.transform(
+        F.sequence(F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")),
+        lambda i: F.substring(
+            F.element_at(blocks, i + 1), F.greatest(start - i * BLOCK, F.lit(0)) + 1,
+            F.least(end, (i + 1) * BLOCK) - F.greatest(start, i * BLOCK))), ""))
+
+
 def redact(text: Column, spans: Column, mark: str = MARK) -> Column:
-    """The text with every span, or run of overlapping spans, replaced by a mark."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.when(fresh, F.concat(acc["out"], F.array(
-                F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))))
-            .otherwise(acc["out"]).alias("out")))
-
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
-        spans, start, step, lambda acc: F.concat(
-            F.array_join(acc["out"], ""),
-            F.substring(text, acc["at"] + 1, F.length(text)))))
+    """The text with every span, or run of overlapping spans, replaced by a mark.
+
+    The text is cut into blocks once and every part between marks is taken from its own
+    blocks: a span does not cost the text before it.
+    """
+    whole = F.struct(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("blocks"),
+        F.length(text).alias("length"),
+        F.array_max(F.transform(spans, lambda s: s["end"])).alias("last"),
+        F.filter(F.zip_with(
+            running(F.transform(spans, lambda s: s["end"]), F.greatest), spans,
+            lambda at, s: F.struct(at.alias("at"), s["start"].alias("to"))),
+            lambda gap: gap["at"] <= gap["to"]).alias("gaps"))
+    return F.when(F.size(spans) == 0, text).otherwise(named(whole, lambda w: F.concat(
+        F.array_join(F.transform(w["gaps"], lambda gap: F.concat(
+            part(w["blocks"], gap["at"], gap["to"]), F.lit(mark))), ""),
+        part(w["blocks"], w["last"], w["length"]))))
 
 
 def redact_documents(documents: DataFrame, model: list[float], text: str = "text") -> DataFrame:

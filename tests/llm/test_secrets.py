@@ -1,7 +1,9 @@
 import hashlib
+import math
 import random
 import re
 import string
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +73,91 @@ def test_models_tell_random_from_ordinary(spark):
     assert (out[2].text, out[2].n_chars, out[3].text, out[3].n_chars) == (None, 0, "ok", 2)
 
 
+def test_ratio_is_that_of_two_chains(spark):
+    """Both chains by counting in plain Python, and the ratio of one run along them."""
+    samples = [("aZ9aZ9q", True, 2), ("Zq9/", True, 1), ("some_name", False, 3), ("x", False, 1)]
+    model = s.ratios(spark.createDataFrame(samples, "run string, random boolean, n int"))
+
+    def chain(kind):
+        pairs, singles, starts = {}, {}, {}
+        for run, random_, n in samples:
+            if random_ == kind:
+                for a, b in zip("\0" + run, run):
+                    pairs[a, b] = pairs.get((a, b), 0) + n
+                    singles[b] = singles.get(b, 0) + n
+                    starts[a] = starts.get(a, 0) + n
+        total = sum(singles.values()) + s.SMOOTH * s.LETTERS
+
+        def chance(a, b):
+            alone = (singles.get(b, 0) + s.SMOOTH) / total
+            return (pairs.get((a, b), 0) + s.BACK * alone) / (starts.get(a, 0) + s.BACK)
+        return chance
+
+    odd, plain = chain(True), chain(False)
+    runs = ["aZ9q", "some", "never/Seen-before=1"]
+    rows = spark.createDataFrame([(x,) for x in runs], "run string").select(
+        "run", s.evidence(F.col("run"), model).alias("e")).collect()
+    for r in rows:
+        want = sum(math.log(odd(a, b) / plain(a, b)) for a, b in zip("\0" + r.run, r.run))
+        assert abs(r.e - want) < 1e-3
+
+
+def test_models_find_keys_that_no_rule_names(spark):
+    """Keys planted without a keyword among whole documents; the model learns from the rules."""
+    rng = random.Random(12)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = s.ratios(s.labelled(docs))
+    texts = [r.text or "" for r in docs.orderBy("doc_id").limit(200).collect()]
+    keys = [key(rng, 40) for _ in texts]
+    planted = spark.createDataFrame([(i, f"{t} use {k} here") for i, (t, k) in enumerate(
+        zip(texts, keys))], "doc_id long, text string")
+    found = {r.doc_id: {(x.start, x.end) for x in r.spans if x.kind == 3}
+             for r in s.find_secrets(planted, model).collect()}
+    own = [(len(t) + 5, len(t) + 45) for t in texts]
+    assert sum(own[i] in found[i] for i in found) >= 0.95 * len(texts)
+    known = {i: [(a, b) for a, _, b in base(t)] for i, t in enumerate(texts)}
+    false = [x for i in found for x in found[i] - {own[i]}
+             if not any(a < x[1] and x[0] < b for a, b in known[i])]
+    assert len(false) <= 2
+
+
+def plain_redact(text, spans):
+    out, at = [], 0
+    for a, _, b in spans:
+        if a >= at:
+            out += [text[at:a], s.MARK]
+        at = max(at, b)
+    return "".join(out) + text[at:]
+
+
+def test_marks_replace_any_spans(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(150):
+        n = rng.choice([1, 5, 255, 256, 257, 513, 1500])
+        text = "".join(rng.choice("ab \n日é\U0001F600") for _ in range(n))
+        spans = set()
+        for _ in range(rng.choice([0, 1, 3, 40, 600])):
+            a = rng.randrange(n)
+            spans.add((a, rng.randrange(4), rng.randint(a + 1, min(n, a + rng.choice([1, 9, 400])))))
+        rows.append((i, text, sorted(spans)))
+    got = spark.createDataFrame(rows, f"i int, text string, spans {s.SPANS}").select(
+        "i", s.redact(F.col("text"), F.col("spans")).alias("out")).collect()
+    assert {r.i: r.out for r in got} == {i: plain_redact(t, x) for i, t, x in rows}
+
+
+def test_long_runs_and_many_spans_cost_what_their_text_costs(spark):
+    rng = random.Random(6)
+    blob = key(rng, 1_000_000, string.ascii_letters + string.digits + "+/")
+    many = " ".join(f"token={key(rng, 8)}" for _ in range(20_000))
+    docs = spark.createDataFrame([(1, f"a {blob} b"), (2, many)], "doc_id long, text string")
+    model = [0.1] * s.CODES ** 2
+    began = time.time()
+    out = {r.doc_id: r.text for r in s.redact_documents(docs, model).collect()}
+    assert time.time() - began < 60
+    assert out[1] == f"a {s.MARK} b" and out[2] == " ".join([s.MARK] * 20_000)
+
+
 def test_sums_over_many_blocks(spark):
     values = list(range(1, 700))
     got = spark.createDataFrame([(values,), ([5],), ([],)], "v array<int>").select(
