@@ -7,8 +7,11 @@ ranked the same way, and the distance to a language is the sum of how far each s
 its rank there, KEPT for those that are not in the profile. The nearest language wins.
 
 Training counts are summed in each task before they are shuffled, and ranked with a limit in
-each partition, so a language with most of the rows is no hot spot. Profiles (KEPT rows a
-language, checked against LANGUAGES) are all that goes to the driver and into the tasks.
+each partition, so a language with most of the rows is no hot spot. Profiles go to the driver
+and, broadcast once, into the tasks as postings: for each n-gram the languages that have it
+and its place there. That is some 10 bytes an n-gram, 4 KB a language, and grows with the
+number of labels only, of which any number may be. A text looks at the postings of its own
+n-grams, so it pays for the languages it has something in common with.
 
 Cases: null text or text without a letter is `und` with score 0, and so is any text if
 nothing was learned. Equal distances: the language first in order. A null doc_id is neither
@@ -27,11 +30,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from .common import bounded_batches, flat, pieces
+from .common import bounded_batches, flat, pieces, ragged
 
 KEPT = 400  # n-grams in a profile
 LONGEST = 4  # bytes of an n-gram
-LANGUAGES = 5_000  # more labels than this are refused: they can't be languages
 HELD = 2_000_000  # n-grams a training task holds before it passes its counts on
 
 _LETTERS = np.full(256, 32, np.uint8)
@@ -101,28 +103,34 @@ def train(documents: DataFrame, text: str = "text", lang: str = "lang",
     bounded_batches(documents.sparkSession)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+        numbers: dict[str, int] = {}  # of the labels the task has seen
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # (label, n-gram) as one key, counts
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for name, (keys, counts) in held.items():
-                yield pa.record_batch({"lang": pa.array([name] * len(keys), pa.string()),
-                                       "gram": pa.array(keys.astype(np.int64)),
-                                       "n": pa.array(counts.astype(np.int64))})
-            held.clear()
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            return counted(np.concatenate([k for k, _ in held]),
+                           np.concatenate([n for _, n in held]))
+
+        def out() -> pa.RecordBatch:
+            keys, counts = merged()
+            label = pa.array(list(numbers), pa.string())
+            return pa.record_batch({
+                "lang": label.take(pa.array((keys >> np.uint64(32)).astype(np.int64))),
+                "gram": pa.array((keys & np.uint64(0xFFFFFFFF)).astype(np.int64)),
+                "n": pa.array(counts.astype(np.int64))})
 
         for batch in pieces(batches):
-            names = batch.column("lang").to_pylist()
-            for name in set(names):
-                own = pc.equal(batch.column("lang"), name)
-                keys, counts = counted(grams(batch.column("text").filter(own))[0])
-                if name in held:
-                    a, b = held[name]
-                    keys, counts = counted(np.concatenate([a, keys]),
-                                           np.concatenate([b, counts]))
-                held[name] = (keys, counts)
-            if sum(len(k) for k, _ in held.values()) > HELD:
-                yield from out()
-        yield from out()
+            own = np.array([numbers.setdefault(x, len(numbers))
+                            for x in batch.column("lang").to_pylist()], np.uint64)
+            keys, docs = grams(batch.column("text"))
+            held.append(counted((own[docs] << np.uint64(32)) | keys))
+            if sum(len(k) for k, _ in held) > HELD:
+                held[:] = [merged()]
+                if len(held[0][0]) > HELD // 2:
+                    yield out()
+                    held.clear()
+                    numbers.clear()
+        if held:
+            yield out()
 
     found = documents.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         "text is not null and lang is not null").mapInArrow(task, "lang string, gram long, n long")
@@ -136,32 +144,48 @@ def train(documents: DataFrame, text: str = "text", lang: str = "lang",
 class Profiles:
     names: list[str]
     grams: np.ndarray  # all that are in a profile, sorted
-    places: np.ndarray  # of each, and of any other, in each language
+    starts: np.ndarray  # first posting of each, and the end
+    langs: np.ndarray  # language of each posting, in order
+    places: np.ndarray  # place of the n-gram in that language
     kept: int
 
     def nearest(self, top: np.ndarray) -> tuple[str, float]:
-        """Language of ranked n-grams, and how near it is: 1 for the profile itself."""
-        at = np.minimum(np.searchsorted(self.grams, top), len(self.grams) - 1)
-        at = np.where(self.grams[at] == top, at, len(self.grams))
-        places = self.places[at]
-        apart = np.where(places == self.kept, self.kept, np.abs(places - np.arange(len(top))[:, None]))
-        distance = apart.sum(0)
-        best = int(np.argmin(distance))
-        return self.names[best], 1.0 - float(distance[best]) / (self.kept * len(top))
+        """Language of ranked n-grams, and how near it is: 1 for the profile itself.
+
+        Every n-gram a profile has takes KEPT less its distance off the largest one possible.
+        """
+        at = np.minimum(np.searchsorted(self.grams, top), max(len(self.grams) - 1, 0))
+        rank = np.flatnonzero(self.grams[at] == top) if len(self.grams) else at[:0]
+        first, after = self.starts[at[rank]], self.starts[at[rank] + 1]
+        posting = ragged(first, after - first)
+        apart = np.abs(self.places[posting] - np.repeat(rank, after - first))
+        langs, of = np.unique(self.langs[posting], return_inverse=True)
+        most = self.kept * len(top)
+        if not len(langs):
+            return self.names[0], 0.0
+        near = np.bincount(of.reshape(-1), self.kept - apart)
+        best = int(np.argmax(near))
+        return self.names[langs[best]], 1.0 - float(most - near[best]) / most
 
 
 def collect_profiles(profiles: DataFrame, kept: int = KEPT) -> Profiles:
-    """At most LANGUAGES times `kept` rows."""
-    rows = profiles.limit(LANGUAGES * kept + 1).collect()
-    if len(rows) > LANGUAGES * kept:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    names = sorted({r["lang"] for r in rows})
-    keys = np.unique(np.array([r["gram"] for r in rows], np.uint32))
-    places = np.full((len(keys) + 1, len(names)), kept, np.int64)
-    column = {n: i for i, n in enumerate(names)}
-    for r in rows:
-        places[np.searchsorted(keys, np.uint32(r["gram"])), column[r["lang"]]] = r["place"]
-    return Profiles(names, keys, places, kept)
+    """At most `kept` rows a language."""
+    rows = profiles.select("lang", F.col("gram").cast("long").alias("gram"),
+                           F.col("place").cast("int").alias("place")).toArrow()
+    label = rows.column("lang").combine_chunks().dictionary_encode()
+    if isinstance(label, pa.ChunkedArray):
+        label = label.combine_chunks()
+    names = label.dictionary.to_pylist()
+    order = np.argsort(np.array(names, object), kind="stable")
+    number = np.empty(len(names), np.int32)
+    number[order] = np.arange(len(names))
+    langs = number[np.asarray(label.indices)] if len(names) else np.zeros(0, np.int32)
+    grams_ = np.asarray(rows.column("gram")).astype(np.uint32)
+    places = np.asarray(rows.column("place")).astype(np.int32)
+    by = np.lexsort((langs, grams_))
+    keys, starts = np.unique(grams_[by], return_index=True)
+    return Profiles([names[i] for i in order], keys, np.append(starts, len(by)), langs[by],
+                    places[by], kept)
 
 
 def letters_in(column: pa.Array) -> np.ndarray:
@@ -177,8 +201,10 @@ def predict(documents: DataFrame, profiles: Profiles, text: str = "text") -> Dat
     bounded_batches(documents.sparkSession)
     schema = StructType([*documents.schema.fields]).add("lang_pred", StringType()).add(
         "score", DoubleType())
+    shared = documents.sparkSession.sparkContext.broadcast(profiles)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profiles = shared.value
         for batch in pieces(batches, text):
             column = batch.column(text)
             keys, docs = grams(column)

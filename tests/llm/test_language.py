@@ -56,6 +56,32 @@ def test_nothing_learned(spark):
     assert g.predict(docs.where("false"), g.learned(docs)).collect() == []
 
 
+def test_any_number_of_labels(spark):
+    """20,000 languages of two words each: no cap, and each text finds its own."""
+    def word(i):
+        return "".join(chr(97 + (i // 26 ** k) % 26) for k in range(4))
+
+    docs = spark.range(20_000, numPartitions=4).select(
+        F.col("id").alias("doc_id"), F.udf(
+            lambda i: f"{word(i)} {word(i * 7 + 3)} {word(i)}", "string")("id").alias("text"),
+        F.format_string("l%05d", "id").alias("lang"))
+    profiles = g.collect_profiles(g.train(docs, kept=20), 20)
+    assert len(profiles.names) == 20_000 and profiles.names == sorted(profiles.names)
+    found = g.predict(docs, profiles).agg(
+        F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.min("score")).first()
+    assert found[0] > 19_900 and found[1] > 0.9
+
+
+def test_profiles_leave_a_task_before_they_fill_it(spark, monkeypatch):
+    docs = spark.createDataFrame([(*r, "x") for r in ROWS * 3],
+                                 "doc_id long, text string, lang string, score string")
+    whole = sorted(g.train(docs, kept=30).collect())
+    monkeypatch.setattr(g, "HELD", 10)
+    monkeypatch.setattr(g, "pieces", lambda batches: (
+        b.slice(i, 1) for b in batches for i in range(b.num_rows)))
+    assert sorted(g.train(docs, kept=30).collect()) == whole
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = g.predict(docs, g.learned(docs)).where(g.third(F.col("doc_id")) == 1)
