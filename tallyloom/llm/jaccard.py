@@ -25,7 +25,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (ALNUM, U64, Words, bounded_batches, components, cut, flat, least_labels,
@@ -304,7 +304,7 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text",
              size: int = SHINGLE, similar: float = SIMILAR) -> DataFrame:
     """The documents, all columns as they were, one of each component.
 
-    Rows with equal id and text are told apart by nothing: one of them stays.
+    Of rows with equal id and text the one that comes first when written as text stays.
     """
     found = join_similar(documents, key, text, size, similar)
     gone = cut(found.groupBy("doc_id", "text_hash").agg(
@@ -315,8 +315,7 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text",
                              F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("hash"))
     on = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
     whole = inner.join(gone, on, "left_anti")
-    # of rows that are equal in id and text, one may stay while others go: so many are kept
-    some = inner.join(gone.where("stay > 0"), on)
-    order = Window.partitionBy("id", "hash").orderBy(F.lit(1))
-    some = some.withColumn("k", F.row_number().over(order)).where("k <= stay").select("row")
+    # where rows are equal in id and text and one of them is kept, the first as text stays
+    some = inner.join(gone.where("stay > 0"), on).groupBy("id", "hash").agg(
+        F.min_by("row", F.col("row").cast("string")).alias("row"))
     return whole.select("row.*").union(some.select("row.*"))

@@ -19,8 +19,8 @@ third of all documents costs a key for each shard, wherever its documents are. K
 to buckets whose number grows with the corpus. The text is shuffled once; the three passes
 read the same exchange.
 
-Cases: null text has no words. A null doc_id counts as the largest. Rows with equal ids are
-not smaller than each other. A text of fewer than WINDOW words keeps them all.
+Cases: null text has no words. A null doc_id counts as the largest 64-bit number, and comes
+back as null. Rows with equal ids are not smaller than each other. A text of fewer than WINDOW words keeps them all.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ FAR = 1 << 40
 
 NOTES = "shard int, kind int, bucket int, doc_id long, h long, bits binary"
 ASKED = "bucket int, shard int, keys binary, docs binary"
-RESULT = "doc_id long, h long, n_words long, n_removed long, kept_sha256 string"
+RESULT = "doc_id long, no_id boolean, h long, n_words long, n_removed long, kept_sha256 string"
 
 
 @dataclass
@@ -249,7 +249,8 @@ class Part:
             removed.append(len(words) - len(left))
             digests.append(hashlib.sha256(b" ".join(left)).hexdigest())
         return pa.record_batch({
-            "doc_id": self.batch.column("doc_id"), "h": self.batch.column("h"),
+            "doc_id": self.batch.column("doc_id"), "no_id": self.batch.column("no_id"),
+            "h": self.batch.column("h"),
             "n_words": pa.array(self.counts), "n_removed": pa.array(removed, pa.int64()),
             "kept_sha256": pa.array(digests, pa.string())})
 
@@ -317,14 +318,15 @@ def answer_windows(asked: pa.Table) -> pa.Table:
 def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "text",
                      window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row (see the module)."""
-    null_id = (1 << 63) - 1
+    largest = (1 << 63) - 1
     slim = documents.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(null_id)).alias("doc_id"),
+        F.coalesce(F.col(key).cast("long"), F.lit(largest)).alias("doc_id"),
+        F.col(key).cast("long").isNull().alias("no_id"),
         F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards, buckets = max(1, size // SHARD_BYTES), max(1, size // BUCKET_BYTES)
     shard = F.pmod(F.xxhash64("doc_id", "h"), F.lit(shards)).cast("int")
-    texts = slim.select(shard.alias("shard"), "doc_id", "h", "text")
+    texts = slim.select(shard.alias("shard"), "doc_id", "no_id", "h", "text")
 
     digests = slim.select("doc_id", "h", F.md5("text").alias("digest"))
     smallest = digests.groupBy("digest").agg(F.min("doc_id").alias("least"),
@@ -355,8 +357,8 @@ def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "tex
             at += len(p.open)
             doc = p.ids[p.doc[p.open]]
             out.append(p.results(smaller[own] | (doc > least[own])))
-        schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_words", pa.int64()),
-                            ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
+        schema = pa.schema([("doc_id", pa.int64()), ("no_id", pa.bool_()), ("h", pa.int64()),
+                            ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
         return pa.Table.from_batches(out, schema)
 
     def pass_over(notes: DataFrame, task, schema: str) -> DataFrame:
@@ -369,5 +371,5 @@ def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "tex
     notes = notes.union(answers(pass_over(notes, ask_symbols, ASKED), answer_symbols))
     notes = notes.union(answers(pass_over(notes, ask_windows, ASKED), answer_windows))
     return pass_over(notes, finish, RESULT).select(
-        F.when(F.col("doc_id") != null_id, F.col("doc_id")).alias("doc_id"), "n_words",
+        F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "n_words",
         "n_removed", "kept_sha256")

@@ -17,8 +17,8 @@ A shard sends equal texts once, and a bucket sorts equal texts once, so a passag
 entry for each shard, wherever its documents are. Buckets grow in number with the corpus and
 are sorted in portions; the text is shuffled once, the three passes read the same exchange.
 
-Cases: null text is empty. A null doc_id counts as the largest; rows with equal ids are not
-smaller than each other. A text below 100 bytes stays as it is.
+Cases: null text is empty. A null doc_id counts as the largest 64-bit number, and comes back
+as null; rows with equal ids are not smaller than each other. A text below 100 bytes stays as it is.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ SHARD_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20  # of text for each bucket
 PORTION = 4 << 20  # bytes whose suffixes are sorted together, unless one anchor has more
 
-RESULT = ("doc_id long, h long, n_bytes long, n_removed long, n_spans long, "
+RESULT = ("doc_id long, no_id boolean, h long, n_bytes long, n_removed long, n_spans long, "
           "kept_sha256 string")
 
 
@@ -279,7 +279,8 @@ class Part:
             digests.append(hashlib.sha256(
                 (text[~removed[a:b]] if k else text).tobytes()).hexdigest())
         return pa.record_batch({
-            "doc_id": self.batch.column("doc_id"), "h": self.batch.column("h"),
+            "doc_id": self.batch.column("doc_id"), "no_id": self.batch.column("no_id"),
+            "h": self.batch.column("h"),
             "n_bytes": pa.array(sizes), "n_removed": pa.array(n), "n_spans": pa.array(spans),
             "kept_sha256": pa.array(digests, pa.string())})
 
@@ -420,8 +421,9 @@ class Shard:
         return out
 
 
-RESULT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_bytes", pa.int64()),
-                           ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+RESULT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("no_id", pa.bool_()), ("h", pa.int64()),
+                           ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
+                           ("n_spans", pa.int64()),
                            ("kept_sha256", pa.string())])
 
 
@@ -484,14 +486,15 @@ def answer_texts(asked: pa.Table, length: int) -> pa.Table:
 def dedup_bytes(documents: DataFrame, key: str = "doc_id", text: str = "text",
                 length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (see the module)."""
-    null_id = (1 << 63) - 1
+    largest = (1 << 63) - 1
     slim = documents.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(null_id)).alias("doc_id"),
+        F.coalesce(F.col(key).cast("long"), F.lit(largest)).alias("doc_id"),
+        F.col(key).cast("long").isNull().alias("no_id"),
         F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards, buckets = max(1, size // SHARD_BYTES), max(1, size // BUCKET_BYTES)
     shard = F.pmod(F.xxhash64("doc_id", "h"), F.lit(shards)).cast("int")
-    texts = slim.select(shard.alias("shard"), "doc_id", "h", "text")
+    texts = slim.select(shard.alias("shard"), "doc_id", "no_id", "h", "text")
 
     digests = slim.select("doc_id", "h", F.md5("text").alias("digest"))
     smallest = digests.groupBy("digest").agg(F.min("doc_id").alias("least"),
@@ -521,5 +524,5 @@ def dedup_bytes(documents: DataFrame, key: str = "doc_id", text: str = "text",
     notes = notes.union(pass_over(notes, ask_texts, ASKED).groupBy("bucket").applyInArrow(
         lambda asked: answer_texts(asked, length), NOTES))
     return pass_over(notes, finish, RESULT).select(
-        F.when(F.col("doc_id") != null_id, F.col("doc_id")).alias("doc_id"), "n_bytes",
+        F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "n_bytes",
         "n_removed", "n_spans", "kept_sha256")

@@ -62,6 +62,12 @@ def test_same_words_go_as_by_all_windows(spark, rows):
     assert result(spark, rows) == brute(rows)
 
 
+def test_the_largest_id_is_no_null(spark, rows):
+    largest = (1 << 63) - 1
+    more = rows + [(largest, rows[0][1]), (largest, None), (largest - 1, "own words only")]
+    assert result(spark, more) == brute(more)
+
+
 def test_shards_and_buckets_find_the_same(spark, rows, monkeypatch):
     monkeypatch.setattr(r, "SHARD_BYTES", 2000)
     monkeypatch.setattr(r, "BUCKET_BYTES", 1500)
