@@ -2,19 +2,21 @@
 
 Two bag models over the words and word pairs of a text, as they are between white space,
 hashed into BUCKETS: one of target texts (labelled good and not toxic), one of the whole raw
-corpus. A bucket whose target count the raw model explains (within CHANCE standard
-deviations) has the same probability in both, so that a long text is not drawn or left by
-chance; the counts of the others are shrunk a little towards the raw model's. A document's weight is the
-ratio of the two, and documents are drawn without replacement in proportion to it by the
-Gumbel trick: noise is added to the logarithm of the weight and the k largest stay. The noise
-comes from a hash of the id, so a repeated run draws the same documents.
+corpus. Every bucket has a log ratio of target over raw probability. What a count can tell is
+limited, so the ratio is the posterior mean under a normal prior of variance PRIOR: the
+measured log ratio, less the more its own variance (about one over the expected count)
+outweighs the prior's. With many counts it is the measured ratio. A document's log weight is
+the sum over all its n-grams, whatever its length, and documents are drawn without replacement
+in proportion to the weight by the Gumbel trick: noise is added to the log weight and the k
+largest stay. The noise comes from a hash of id and text, so a repeated run draws the same
+documents.
 
 Counts cover all documents; a task sums its own before they are shuffled, so BUCKETS rows a
 task travel, and BUCKETS rows go to the driver, whatever the size. The k-th largest is found
 from a distributed sort and the sizes of its partitions.
 
-Cases: a text without words, null ones too, has log weight 0. Rows with equal ids draw the
-same noise. Conflicting or null labels of an id make it no target. Without targets, or with
+Cases: a text without words, null ones too, has log weight 0. Rows with equal ids and texts
+draw the same noise. Conflicting or null labels of an id make it no target. Without targets, or with
 only targets, all weights are alike and the draw is uniform.
 """
 
@@ -29,9 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACED, U64, Words, bounded_batches, cut, flat, mix, pieces
 
-BUCKETS = 1 << 16
-CHANCE = 5.0
-SHRINK = 2.0  # counts that the raw model adds to each bucket of the target's
+BUCKETS = 1 << 17
+PRIOR = 0.05  # variance of the log ratios before anything is counted
 SEED = 20
 
 
@@ -64,15 +65,15 @@ def bucket_counts(documents: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """Log of target over raw probability of each bucket; a bounded number of rows."""
+    rows = counts.toArrow()
+    bucket = np.asarray(rows.column("bucket"))
     target, raw = np.zeros(buckets), np.zeros(buckets)
-    for r in counts.collect():
-        target[r["bucket"]] += r["target"]
-        raw[r["bucket"]] += r["raw"]
+    target[bucket], raw[bucket] = np.asarray(rows.column("target")), np.asarray(rows.column("raw"))
     if not target.sum():
         return np.zeros(buckets)
     expected = raw * (target.sum() / raw.sum())
-    ratios = np.log(target + SHRINK) - np.log(expected + SHRINK)
-    return np.where(np.abs(target - expected) > CHANCE * np.sqrt(expected + 1), ratios, 0.0)
+    sure = PRIOR * (expected + 1)
+    return (np.log(target + 1) - np.log(expected + 1)) * sure / (sure + 1)
 
 
 def targets(labels: DataFrame) -> DataFrame:
@@ -84,25 +85,27 @@ def targets(labels: DataFrame) -> DataFrame:
 
 def weigh(documents: DataFrame, ratios: np.ndarray, key: str = "doc_id",
           text: str = "text") -> DataFrame:
-    """doc_id, n_words, log_weight of every document."""
+    """doc_id, text_hash, n_words, log_weight of every document."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             w = Words(*flat(batch.column("text")), SPACED, True)
             found, docs = features(w, len(ratios))
             weight = np.bincount(docs, ratios[found], minlength=batch.num_rows)
             yield pa.record_batch({"doc_id": batch.column("doc_id"),
+                                   "text_hash": batch.column("text_hash"),
                                    "n_words": pa.array(w.counts),
                                    "log_weight": pa.array(weight.astype(np.float64))})
 
-    return documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")
-                            ).mapInArrow(task, "doc_id long, n_words long, log_weight double")
+    return documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                            F.xxhash64(text).alias("text_hash")).mapInArrow(
+        task, "doc_id long, text_hash long, n_words long, log_weight double")
 
 
 def draw(weighed: DataFrame, k: int, seed: int = SEED) -> DataFrame:
     """All rows with gumbel_key, place (from 1) and selected: the k largest keys."""
-    uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / F.lit(2.0 ** 52)
+    uniform = (F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.lit(1 << 52)) + 0.5) / F.lit(2.0 ** 52)
     keyed = weighed.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform)))
-    ordered = cut(keyed.orderBy(F.desc("gumbel_key"), "doc_id")).withColumn(
+    ordered = cut(keyed.orderBy(F.desc("gumbel_key"), "doc_id", "text_hash")).withColumn(
         "at", F.monotonically_increasing_id())
     # the id holds the partition above bit 33 and the place in it below
     part = F.shiftright("at", 33)
@@ -113,11 +116,11 @@ def draw(weighed: DataFrame, k: int, seed: int = SEED) -> DataFrame:
         before += r["n"]
     if not offsets:
         return ordered.withColumn("place", F.col("at")).withColumn(
-            "selected", F.lit(False)).drop("at")
+            "selected", F.lit(False)).drop("at", "text_hash")
     starts = ordered.sparkSession.createDataFrame(offsets, "part long, before long")
     return ordered.withColumn("part", part).join(F.broadcast(starts), "part").withColumn(
         "place", F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1) + 1).withColumn(
-        "selected", F.col("place") <= k).drop("at", "part", "before")
+        "selected", F.col("place") <= k).drop("at", "part", "before", "text_hash")
 
 
 def resample(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",

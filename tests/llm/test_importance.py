@@ -37,22 +37,42 @@ def test_weights_are_those_of_the_models(spark):
     scale = sum(target.values()) / sum(raw.values())
 
     def ratio(b):
+        """Posterior mean of the log ratio: a normal prior, a measurement of variance 1/(e+1)."""
         e = raw[b] * scale
-        if abs(target[b] - e) <= m.CHANCE * math.sqrt(e + 1):
-            return 0.0
-        return math.log((target[b] + m.SHRINK) / (e + m.SHRINK))
+        measured, spread = math.log(target[b] + 1) - math.log(e + 1), 1 / (e + 1)
+        return (measured / spread) / (1 / m.PRIOR + 1 / spread)
+
+    assert sum(ratio(b) != 0 for b in raw) == len(raw)
 
     for doc, text, _ in DOCS:
         want = sum(ratio(m_bucket(g)) for g in grams(text))
         assert found[doc, len((text or "").split())].log_weight == pytest.approx(want, abs=1e-9)
     assert found[3, 400].log_weight < 0 < found[1, 180].log_weight
     rows = m.resample(docs, labels, share=0.5).collect()
+    noise = {(r.doc_id, r.n_words): r.gumbel_key - r.log_weight for r in rows}
+    assert len({round(x, 9) for x in noise.values()}) == len(DOCS)  # equal ids, other texts
     assert sorted(r.place for r in rows) == list(range(1, len(DOCS) + 1))
     keys = sorted((r.gumbel_key for r in rows), reverse=True)
     assert sum(r.selected for r in rows) == round(len(DOCS) / 2)
     assert all(r.gumbel_key == keys[r.place - 1] for r in rows)
 
 
+def test_all_buckets_have_a_ratio_near_the_true_one(spark):
+    """Two known bag models: the ratios found are theirs, drawn towards 0 by little."""
+    rng = np.random.default_rng(5)
+    n = 400
+    raw, target = rng.dirichlet(np.full(n, 10.0)), rng.dirichlet(np.full(n, 10.0))
+    mixed = raw * 0.9 + target * 0.1
+    good = rng.multinomial(200_000, target)
+    every = good + rng.multinomial(1_800_000, raw)
+    counts = spark.createDataFrame([(i, int(good[i]), int(every[i])) for i in range(n)],
+                                   "bucket long, target long, raw long")
+    found, true = m.log_ratios(counts, n), np.log(target / mixed)
+    assert np.count_nonzero(found) == n
+    assert np.abs(found - true).max() < 0.3
+    assert np.corrcoef(found, true)[0, 1] > 0.98
+
+
 def test_draws_in_proportion_to_the_weights(spark):
     weights = np.log([1.0, 2.0, 4.0, 9.0])
     rows = [(i, 1, float(w)) for i, w in enumerate(weights)]
