@@ -232,8 +232,17 @@ def _canonical(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
         return iso_text(c)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        text, size = c.cast("string"), F.abs(c)
         # as a function over one value: written out for each column it is too much code
-        return F.element_at(F.transform(F.array(c.cast("string")), _plain_number), 1)
+        plain = F.element_at(F.transform(F.array(text), _plain_number), 1)
+        # from a thousandth to ten millions Spark writes no exponent
+        usual = (F.when(text.endswith(".0"), F.left(text, F.length(text) - 2))
+                 .when(text.endswith("0"), plain).otherwise(text))
+        found = F.when((size >= 1e-3) & (size < 1e7), usual)
+        if isinstance(field.dataType, T.DoubleType):  # whole numbers that a double holds exactly
+            whole = (size >= 1e7) & (size < 1e15) & (F.floor(c) == c)
+            found = found.when(whole, c.cast("bigint").cast("string"))
+        return found.otherwise(plain)
     return c.cast("string")
 
 
