@@ -197,12 +197,17 @@ def _synced_counts(t: b.Tables) -> DataFrame:
         F.count(F.lit(1)).alias("held")).join(counted, "name")
 
 
+FILE_MESSAGES = 1 << 18  # messages that one task writes into a file
+
+
 def _stream_counters(t: b.Tables) -> DataFrame:
-    """Four triggers, and a run that ends after the first of them."""
+    """Four triggers, and a run that ends after the first of them. A trigger takes as many files
+    as a quarter of the messages fill."""
     inbox = _Inbox(t.spark)
-    inbox.send(b.defective_messages(t).repartition(4, "offset"))
-    inbox.run(files_per_trigger=1, batches=1)
-    batches = inbox.run(files_per_trigger=1)
+    files = max(1, t.lineitem.count() // (4 * FILE_MESSAGES))
+    inbox.send(b.defective_messages(t).repartition(4 * files, "offset"))
+    inbox.run(files_per_trigger=files, batches=1)
+    batches = inbox.run(files_per_trigger=files)
     return batches.agg(*[F.sum(c).alias(c) for c in (
         "processed", "inserted", "duplicates", "dead_letters")])
 
