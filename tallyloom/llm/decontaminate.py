@@ -1,6 +1,6 @@
 """Benchmark decontamination: an FM-index per training shard, searched for test phrases.
 
-A shard is a few megabytes of documents. Its words are numbered by the benchmark's
+A shard is about a megabyte of documents. Its words are numbered by the benchmark's
 vocabulary; only runs of such words that are long enough to hold a phrase are indexed, since
 a phrase cannot reach over a foreign word. The shard's suffixes are sorted, the last column
 is kept as a wavelet tree, all phrases are searched backwards at once by rank, and the
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import ALNUM, Words, bounded_batches, covered, flat, pieces, ragged, two_columns
 
 PHRASE = 10  # words
-SHARD_BYTES = 4 << 20  # of text in an index
+SHARD_BYTES = 1 << 20  # of text in an index
 BLOCK_BYTES = 8 << 20  # of benchmark text in one broadcast
 SAMPLED = 8  # every so manieth word of a run keeps its place
 

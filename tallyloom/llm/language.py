@@ -30,17 +30,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from .common import bounded_batches, flat, pieces, ragged
+from . import common
+from .common import bounded_batches, flat, ragged
 
 KEPT = 400  # n-grams in a profile
 LONGEST = 4  # bytes of an n-gram
-HELD = 2_000_000  # n-grams a training task holds before it passes its counts on
+HELD = 500_000  # n-grams a training task holds before it passes its counts on
+TEXT_BYTES = 1 << 18  # of text whose n-grams are numbered together, some 100 bytes for each
 
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[97:123] = np.arange(97, 123)
 _LETTERS[128:] = np.arange(128, 256)
 
 
+def pieces(batches: Iterator[pa.RecordBatch],
+           column: str = "text") -> Iterator[pa.RecordBatch]:
+    return common.pieces(batches, column, TEXT_BYTES)
+
+
 def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of all texts as numbers, and the text of each."""
     data, offsets = flat(pc.utf8_lower(pc.fill_null(column, "")))

@@ -2,8 +2,9 @@
 
 Tokens: texts are split at ASCII white space, which the vocabulary drops and no token
 crosses, so the ids of a text are the ids of its parts in turn. Each task numbers distinct
-parts once (Arrow's dictionary) and gathers their ids; parts met before come from a bounded
-cache. Only id, place, length and checksum of each piece leave the task.
+parts once (Arrow's dictionary) and gathers their ids; words met before come from a bounded
+cache, the others are encoded some thousands at a time. Only id, place, length and checksum
+of each piece leave the task.
 
 Packing: the pieces are dealt at random into groups of about GROUP pieces, each packed by
 one task, so neither driver nor task ever sees more; a group loses less than one sequence.
@@ -44,7 +45,9 @@ SLACK = SIZE // 64  # free space a configuration may leave
 DISSOLVE = SIZE // 128  # sequences with more free space are filled anew
 BATCH_BYTES = 16 << 20  # of text whose parts are numbered together
 JOINED = 4000  # plain words numbered at once
-CACHED = 150_000  # entries in a generation of a worker's caches
+MISSED = 16_000  # parts that are not known as words and are numbered at once
+GATHERED = 1 << 16  # parts whose ids are copied at once
+CACHED = 150_000  # entries in a generation of a worker's cache
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -59,10 +62,13 @@ class Recent:
     def __init__(self, limit: int):
         self.limit, self.new, self.old = limit, {}, {}
 
-    def find(self, keys: list[str]) -> tuple[list[bytes | None], list[int]]:
-        """The values, and the places of the keys that are not here."""
+    def turn(self) -> None:
+        """A full generation becomes the old one, and the old one goes."""
         if len(self.new) > self.limit:
             self.new, self.old = {}, self.new
+
+    def find(self, keys: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """The values, and the places of the keys that are not here."""
         new, old = self.new, self.old
         values, missing = [], []
         for i, key in enumerate(keys):
@@ -85,7 +91,7 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts, self.words = Recent(CACHED), Recent(CACHED)
+        self.words = Recent(CACHED)
 
     def _of_words(self, words: list[str]) -> list[bytes]:
         """Ids of what is numbered as one text."""
@@ -112,16 +118,21 @@ class Tokens:
         return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def of(self, parts: list[str]) -> list[bytes]:
-        """A plain word and marks behind it are numbered apart, the word in lower case."""
-        values, missing = self.parts.find(parts)
-        pairs = []
-        for i in missing:
-            m = _PLAIN.fullmatch(parts[i])
-            pairs.append((m[1].lower(), m[2]) if m else (parts[i], ""))
-        words = list(dict.fromkeys(x for pair in pairs for x in pair))
-        ids = dict(zip(words, self._of_words(words)))
-        for i, (word, marks) in zip(missing, pairs):
-            values[i] = self.parts.new[parts[i]] = ids[word] + ids[marks] if marks else ids[word]
+        """A plain word and marks behind it are numbered apart, the word in lower case.
+
+        Only words are kept: what a part adds to them is soon put together again.
+        """
+        values, missing = self.words.find(parts)
+        for at in range(0, len(missing), MISSED):
+            self.words.turn()
+            some, pairs = missing[at:at + MISSED], []
+            for i in some:
+                m = _PLAIN.fullmatch(parts[i])
+                pairs.append((m[1].lower(), m[2]) if m else (parts[i], ""))
+            words = list(dict.fromkeys(x for pair in pairs for x in pair))
+            ids = dict(zip(words, self._of_words(words)))
+            for i, (word, marks) in zip(some, pairs):
+                values[i] = ids[word] + ids[marks] if marks else ids[word]
         return values
 
 
@@ -131,15 +142,20 @@ _TOKENS: dict[str, Tokens] = {}
 def batch_ids(column: pa.Array, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts in turn, without end tokens, and the number of each text."""
     split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+    bounds = np.asarray(split.offsets, np.int64) - split.offsets[0].as_py()
     parts = split.flatten().dictionary_encode()
+    del split
+    which = parts.indices.to_numpy(zero_copy_only=False)
     ids = tokens.of(parts.dictionary.to_pylist())
     lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     values = np.frombuffer(b"".join(ids), "<u4")
-    which = parts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    own = lengths[which]
-    flat_ids = values[ragged((np.cumsum(lengths) - lengths)[which], own)]
-    bounds = np.asarray(split.offsets, np.int64) - split.offsets[0].as_py()
-    sums = np.concatenate([[0], np.cumsum(own)])
+    del parts, ids
+    firsts = np.cumsum(lengths) - lengths
+    sums = np.concatenate([[0], np.cumsum(lengths[which])])
+    flat_ids = np.empty(sums[-1], "<u4")
+    for at in range(0, len(which), GATHERED):
+        some = which[at:at + GATHERED]
+        flat_ids[sums[at]:sums[at + len(some)]] = values[ragged(firsts[some], lengths[some])]
     return flat_ids, np.diff(sums[bounds])
 
 

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyloom.llm import decontaminate as d
@@ -73,3 +75,16 @@ def test_blocks_of_the_benchmark(spark, case, monkeypatch):
     one = sorted(map(str, d.find_hits(docs, bench).collect()))
     monkeypatch.setattr(d, "BLOCK_BYTES", 60)
     assert sorted(map(str, d.find_hits(docs, bench).collect())) == one
+
+
+def test_little_memory_for_a_shard():
+    """A batch of 8 MB is indexed shard by shard; a shard takes some 40 MB, not 140."""
+    phrases = d.compile_phrases([("1", "one two three four five six seven eight nine ten")], 10)
+    batch = pa.record_batch({"text": ["other words, " * 160] * 4000})
+    tracemalloc.start()
+    try:
+        for piece in d.pieces([batch], limit=d.SHARD_BYTES):
+            assert not d.scan_shard(piece.column("text"), iter([phrases]))[1].any()
+        assert tracemalloc.get_traced_memory()[1] < 120 << 20
+    finally:
+        tracemalloc.stop()

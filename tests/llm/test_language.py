@@ -1,5 +1,7 @@
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tallyloom.llm import language as g
@@ -88,3 +90,14 @@ def test_held_out_accuracy(spark):
     right, n = found.where("lang is not null").agg(
         F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
     assert n > 200 and right > 0.97
+
+
+def test_little_memory_beside_a_batch():
+    """A batch of 8 MB is numbered in small parts, not whole or by the megabyte."""
+    batch = pa.record_batch({"text": ["one more word, " * 140] * 4000})
+    tracemalloc.start()
+    try:
+        assert sum(len(g.grams(piece.column("text"))[0]) for piece in g.pieces([batch])) > 10 ** 7
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()

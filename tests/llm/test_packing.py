@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyloom.llm import packing as p
@@ -72,3 +74,32 @@ def test_groups_and_empty_table(spark, monkeypatch):
     got = p.pack_pieces(found, group=64).collect()
     assert len(got) == 400 and len({r.sequence_id >> 32 for r in got}) > 3
     assert p.pack_documents(docs.where("false"), vocabulary()).collect() == []
+
+
+def test_bounded_cache_and_the_ids_of_each_part(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(p, "CACHED", 100)
+    monkeypatch.setattr(p, "MISSED", 50, raising=False)
+    tokens, whole = p.Tokens(vocabulary()), Tokenizer.from_file(vocabulary())
+    parts = [f"{'Wo' if i % 3 else 'wö'}rd{'abcdefghij'[i % 10]}{chr(97 + i // 100)}{'.,'[i % 2]}"
+             f"{i if i % 7 == 0 else ''}" for i in range(2000)]
+    for turn in (parts, parts[::-1]):
+        for part, ids in zip(turn, tokens.of(turn)):
+            assert ids == np.array(whole.encode(part, add_special_tokens=False).ids,
+                                   "<u4").tobytes()
+    kept = [x for x in vars(tokens).values() if isinstance(x, p.Recent)]
+    assert sum(len(x.new) + len(x.old) for x in kept) <= 2 * (100 + 2 * 50)
+
+
+def test_little_memory_beside_a_batch():
+    """The ids of a batch are gathered bit by bit: 8 MB of text take some 60 MB, not 120."""
+    column = pa.array(["a word and more, " * 100] * 4700)
+    tokens = p.Tokens(vocabulary())
+    tracemalloc.start()
+    try:
+        ids, counts = p.batch_ids(column, tokens)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(ids) == counts.sum() > 2_000_000 and peak < 90 << 20
