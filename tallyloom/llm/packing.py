@@ -139,6 +139,13 @@ class Tokens:
 _TOKENS: dict[str, Tokens] = {}
 
 
+def worker_tokens(path: str) -> Tokens:
+    """One for all tasks of a Python worker: a task's own copy of _TOKENS would be empty."""
+    if path not in _TOKENS:
+        _TOKENS[path] = Tokens(path)
+    return _TOKENS[path]
+
+
 def batch_ids(column: pa.Array, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts in turn, without end tokens, and the number of each text."""
     split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
@@ -164,9 +171,7 @@ def token_pieces(documents: DataFrame, path: str, key: str = "doc_id", text: str
     """doc_id, piece, start, length, ids_crc32 of every piece of every document."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _TOKENS:
-            _TOKENS[path] = Tokens(path)
-        tokens = _TOKENS[path]
+        tokens = worker_tokens(path)
         for batch in pieces(batches, limit=BATCH_BYTES):
             ids, counts = batch_ids(batch.column("text"), tokens)
             rows: list[tuple] = []
