@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, pieces, ragged
+from .common import cut, pieces
 
 SIZE = 4096  # tokens in a sequence
 END = 1  # id that ends a document
@@ -45,42 +45,40 @@ SLACK = SIZE // 64  # free space a configuration may leave
 DISSOLVE = SIZE // 128  # sequences with more free space are filled anew
 BATCH_BYTES = 16 << 20  # of text whose parts are numbered together
 JOINED = 4000  # plain words numbered at once
-MISSED = 16_000  # parts that are not known as words and are numbered at once
-GATHERED = 1 << 16  # parts whose ids are copied at once
+MISSED = 16_000  # unknown words numbered at once
 CACHED = 150_000  # entries in a generation of a worker's cache
+KEPT = 256  # bytes of the longest words that are kept
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 #: Letters that turn to lower case one by one, then marks that stand for themselves.
 _LOWER = re.compile("[a-zß-öø-ÿ]+")
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+_PLAIN = r"\A(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-/:-@\[-`{-~]*)\z"
 
 
 class Recent:
-    """What was looked up of late: at most two generations of so many entries."""
+    """Ids of words looked up of late: at most two generations of so many, as Arrow arrays."""
 
     def __init__(self, limit: int):
-        self.limit, self.new, self.old = limit, {}, {}
-
-    def turn(self) -> None:
+        self.limit = limit
+        self.new = self.old = pa.table({"word": pa.array([], pa.large_string()),
+                                        "ids": pa.array([], pa.large_binary())})
+
+    def find(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The ids, null where they are not here, and which of them are in the new generation."""
+        known = pa.concat_tables([self.new, self.old]).combine_chunks()
+        if not len(known):
+            return pa.nulls(len(words), pa.large_binary()), np.zeros(len(words), bool)
+        at = pc.index_in(words, value_set=known["word"].chunk(0))
+        recent = pc.fill_null(pc.less(at, len(self.new)), False)
+        return known["ids"].chunk(0).take(at), recent.to_numpy(zero_copy_only=False)
+
+    def keep(self, words: pa.Array, ids: pa.Array) -> None:
         """A full generation becomes the old one, and the old one goes."""
-        if len(self.new) > self.limit:
-            self.new, self.old = {}, self.new
-
-    def find(self, keys: list[str]) -> tuple[list[bytes | None], list[int]]:
-        """The values, and the places of the keys that are not here."""
-        new, old = self.new, self.old
-        values, missing = [], []
-        for i, key in enumerate(keys):
-            value = new.get(key)
-            if value is None:
-                value = old.get(key)
-                if value is None:
-                    missing.append(i)
-                else:
-                    new[key] = value
-            values.append(value)
-        return values, missing
+        if len(self.new) + len(words) > self.limit:
+            self.new, self.old = self.new.slice(0, 0), self.new
+        fresh = pa.table({"word": words, "ids": ids}).slice(0, self.limit)
+        self.new = pa.concat_tables([self.new, fresh]).combine_chunks()
 
 
 class Tokens:
@@ -93,19 +91,35 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.words = Recent(CACHED)
 
-    def _of_words(self, words: list[str]) -> list[bytes]:
-        """Ids of what is numbered as one text."""
-        values, missing = self.words.find(words)
-        plain = [i for i in missing if _LOWER.fullmatch(words[i])]
-        other = [i for i in missing if not _LOWER.fullmatch(words[i])]
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        """Ids of what is numbered as one text, each word once."""
+        ids, recent = self.words.find(words)
+        unknown = ids.is_null()
+        missing = np.flatnonzero(unknown)
+        if len(missing):
+            fresh = [pa.array(self._numbered(words.take(pa.array(missing[at:at + MISSED]))
+                                             .to_pylist()), pa.large_binary())
+                     for at in range(0, len(missing), MISSED)]
+            ids = pc.replace_with_mask(ids, unknown, pa.concat_arrays(fresh))
+        short = pc.less_equal(pc.binary_length(words), KEPT).to_numpy(zero_copy_only=False)
+        some = pa.array(np.flatnonzero(short & ~recent)[:CACHED])
+        self.words.keep(words.take(some), ids.take(some))
+        return ids
+
+    def _numbered(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are not known."""
+        values = [b""] * len(words)
+        plain, other = [], []
+        for i, word in enumerate(words):
+            (plain if _LOWER.fullmatch(word) else other).append(i)
         for at in range(0, len(plain), JOINED):
             some = plain[at:at + JOINED]
             for i, ids in zip(some, self._joined([words[i] for i in some])):
-                values[i] = self.words.new[words[i]] = ids
+                values[i] = ids
         found = self.tokenizer.encode_batch_fast([words[i] for i in other],
                                                  add_special_tokens=False)
         for i, x in zip(other, found):
-            values[i] = self.words.new[words[i]] = np.array(x.ids, "<u4").tobytes()
+            values[i] = np.array(x.ids, "<u4").tobytes()
         return values
 
     def _joined(self, words: list[str]) -> list[bytes]:
@@ -117,23 +131,27 @@ class Tokens:
         data, ends = np.array(found.ids, "<u4").tobytes(), np.cumsum(counts) * 4
         return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
-    def of(self, parts: list[str]) -> list[bytes]:
+    def of_parts(self, parts: pa.Array) -> pa.Array:
         """A plain word and marks behind it are numbered apart, the word in lower case.
 
-        Only words are kept: what a part adds to them is soon put together again.
+        Only words are kept: what a part adds to them is soon put together again. Python
+        sees no part and no known word, only the words that are not known.
         """
-        values, missing = self.words.find(parts)
-        for at in range(0, len(missing), MISSED):
-            self.words.turn()
-            some, pairs = missing[at:at + MISSED], []
-            for i in some:
-                m = _PLAIN.fullmatch(parts[i])
-                pairs.append((m[1].lower(), m[2]) if m else (parts[i], ""))
-            words = list(dict.fromkeys(x for pair in pairs for x in pair))
-            ids = dict(zip(words, self._of_words(words)))
-            for i, (word, marks) in zip(some, pairs):
-                values[i] = ids[word] + ids[marks] if marks else ids[word]
-        return values
+        parts = parts.cast(pa.large_string())
+        pairs = pc.extract_regex(parts, _PLAIN)
+        word = pc.coalesce(pc.utf8_lower(pc.struct_field(pairs, "word")), parts)
+        marks = pc.fill_null(pc.struct_field(pairs, "marks"), "")
+        del pairs
+        both = pa.concat_arrays([word, marks]).dictionary_encode()
+        del word, marks
+        ids = self._of_words(both.dictionary)
+        at, n = both.indices, len(parts)
+        return pc.binary_join_element_wise(ids.take(at[:n]), ids.take(at[n:]),
+                                           pa.scalar(b"", pa.large_binary()))
+
+    def of(self, parts: list[str]) -> list[bytes]:
+        """The same for a list."""
+        return self.of_parts(pa.array(parts, pa.large_string())).to_pylist()
 
 
 _TOKENS: dict[str, Tokens] = {}
@@ -152,17 +170,10 @@ def batch_ids(column: pa.Array, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]
     bounds = np.asarray(split.offsets, np.int64) - split.offsets[0].as_py()
     parts = split.flatten().dictionary_encode()
     del split
-    which = parts.indices.to_numpy(zero_copy_only=False)
-    ids = tokens.of(parts.dictionary.to_pylist())
-    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    values = np.frombuffer(b"".join(ids), "<u4")
-    del parts, ids
-    firsts = np.cumsum(lengths) - lengths
-    sums = np.concatenate([[0], np.cumsum(lengths[which])])
-    flat_ids = np.empty(sums[-1], "<u4")
-    for at in range(0, len(which), GATHERED):
-        some = which[at:at + GATHERED]
-        flat_ids[sums[at]:sums[at + len(some)]] = values[ragged(firsts[some], lengths[some])]
+    ids = tokens.of_parts(parts.dictionary).take(parts.indices)
+    _, offsets, data = ids.buffers()
+    sums = np.frombuffer(offsets, np.int64, len(ids) + 1) // 4 if len(ids) else np.zeros(1, int)
+    flat_ids = np.frombuffer(data, "<u4", sums[-1]) if sums[-1] else np.zeros(0, "<u4")
     return flat_ids, np.diff(sums[bounds])
 
 

@@ -1,3 +1,4 @@
+import sys
 import tracemalloc
 import zlib
 
@@ -103,3 +104,38 @@ def test_little_memory_beside_a_batch():
     finally:
         tracemalloc.stop()
     assert len(ids) == counts.sum() > 2_000_000 and peak < 90 << 20
+
+
+def test_known_words_cost_no_python_call_for_each_part():
+    """Parts are looked up as Arrow arrays: once its words are known, a text takes few calls."""
+    from tokenizers import Tokenizer
+
+    marks = ["", *map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]),
+             "...", "'#", "<|", "|>", "$$$", "\\]\"", "-_'"]
+    words = [f"w\u00f6{a}{b}r" for a in "abcdefghij" for b in "klmnopqrst"]
+    parts = [w + m for w in [*words, *map(str.upper, words)] for m in marks]
+    column = pa.array([" ".join(parts), None, "", " ".join(parts[::-1])])
+    tokens, whole = p.Tokens(vocabulary()), Tokenizer.from_file(vocabulary())
+    want = [whole.encode(x or "", add_special_tokens=False).ids for x in column.to_pylist()]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    for known in (False, True):
+        sys.setprofile(count if known else None)
+        try:
+            ids, counts = p.batch_ids(column, tokens)
+        finally:
+            sys.setprofile(None)
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+    assert calls < 500 < len(parts)
+
+
+def test_long_words_are_not_kept():
+    tokens = p.Tokens(vocabulary())
+    first = tokens.of(["a" * 10_000, "short"])
+    assert tokens.words.new["word"].to_pylist() == ["short", ""]
+    assert tokens.of(["a" * 10_000, "short"]) == first
