@@ -3,8 +3,8 @@
 Tokens: texts are split at ASCII white space, which the vocabulary drops and no token
 crosses, so the ids of a text are the ids of its parts in turn. Each task numbers distinct
 parts once (Arrow's dictionary) and gathers their ids; words met before come from a bounded
-cache, the others are encoded some thousands at a time. Only id, place, length and checksum
-of each piece leave the task.
+cache of Arrow arrays, the others are encoded some thousands at a time. Only id, place, length
+and checksum of each piece leave the task.
 
 Packing: the pieces are dealt at random into groups of about GROUP pieces, each packed by
 one task, so neither driver nor task ever sees more; a group loses less than one sequence.
