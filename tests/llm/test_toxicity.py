@@ -1,3 +1,5 @@
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -144,3 +146,51 @@ def test_without_labels_or_rows(spark):
     none = tox.classify(docs.limit(5), labels.where("toxic = 0")).collect()
     assert [r.score for r in none] == [0.0] * 5 and not any(r.predicted for r in none)
     assert tox.classify(docs.limit(0), labels).count() == 0
+
+
+def test_all_labelled_rows_are_learned_from(spark, monkeypatch):
+    # words that only rows beyond any sample, or only long texts, have a label for
+    monkeypatch.setattr(tox, "SHARD_ROWS", 200)
+    docs, labels = planted(spark)
+    rng = np.random.default_rng(8)
+    filler = lambda n: " ".join(rng.choice(["bando", "fire", "gesto", "lire"], n))
+    bad = lambda i: i % 2
+    long = [(i, filler(5000) + (" foulword" if bad(i) else "") + f" u{i}", "xx", "web")
+            for i in range(10_000, 10_060)]
+    assert all(len(r[1]) > 16_384 for r in long)
+    docs = docs.union(spark.createDataFrame(long, DOCS))
+    labels = labels.union(spark.createDataFrame([(r[0], 0, bad(r[0])) for r in long],
+                                                labels.schema))
+    rows = tox.training_rows(docs, labels)
+    free = [i for i in [*range(600), *range(10_000, 10_060)] if crc32(str(i).encode()) % 5]
+    assert sorted(r.doc_id for r in rows.collect()) == free
+    trained = []
+    monkeypatch.setattr(tox, "train", lambda shards, names: trained.append(shards))
+    tox.learned(docs, labels)
+    shards = [tox.Shard(r.shard, r.data) for r in trained[0].collect()]
+    assert len(shards) == 3
+    assert sum(len(s.rows(k)[1]) for s in shards for k in ("seen", "unseen")) == len(free)
+    monkeypatch.undo()
+    monkeypatch.setattr(tox, "SHARD_ROWS", 200)
+    model = tox.learned(docs, labels)
+    texts = [("foulword " + filler(30)), filler(30), "vileness " + filler(30)]
+    got = tox.Model(model).scores(pa.array(texts))
+    assert got[0] >= 0.5 and got[1] < 0.5 and got[2] >= 0.5
+
+
+def test_texts_in_portions_are_coded_as_at_once():
+    texts = ["one two", "", "two three three", "ñandú", "one"]
+    whole = tox.coded(*tox.flat(pa.array(texts)))
+    parts = tox.joined([tox.coded(*tox.flat(pa.array(texts[a:b]))) for a, b in ((0, 2), (2, 5))])
+    assert (parts.features == whole.features).all() and (parts.seq == whole.seq).all()
+    assert (parts.offsets == whole.offsets).all()
+
+
+def test_a_text_with_many_copies_is_learned_once(spark):
+    docs, labels = planted(spark)
+    copies = spark.range(2000, 2400).selectExpr("id as doc_id", "'same text' as text",
+                                                "'xx' as lang", "'s' as source")
+    more = labels.union(copies.selectExpr("doc_id", "0", "0"))
+    rows = tox.training_rows(docs.union(copies).union(copies), more)
+    assert rows.where("doc_id >= 2000").count() == 1
+    assert rows.count() == rows.select("h1", "h2").distinct().count()
