@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from .functions.columns import iso_text
 from .schemas import EVENT_TYPE, MASTER_PIPELINE, SALES_PIPELINE, TRANSACTION_FIELDS
-from .streaming.contract import split, to_raw_events, validate
-from .streaming.sink import first_arrivals
+from .session import work_dir
+from .streaming.contract import POSITION, split, to_raw_events, validate, without_message
+from .streaming.sink import ROW, first_arrivals
 
 TOPIC = "sales.events"
 BOOK = "MasterData"
@@ -79,16 +80,21 @@ def _buyers(t: Tables) -> DataFrame:
     return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
 
 
-def _sales_lines(t: Tables) -> DataFrame:
+def _sales_lines(t: Tables, parts: int | None = None) -> DataFrame:
     """Line items with their order, customer and product; amounts still typed. Orders meet
-    their customers first, so that lines travel once by order and once by product."""
+    their customers first, so that lines travel once by order and once by product. With `parts`
+    they are dealt to so many partitions, before texts are made of them."""
     gross, price = _money("l_extendedprice"), _money("p_retailprice")
     pct = F.col("l_discount").cast("decimal(10,6)")
     lines = (
         t.lineitem.withColumn("line", _line())
         .join(_buyers(t), F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        .withColumn("quantity", F.col("l_quantity").cast("int"))
+    )
+    if parts:
+        lines = lines.repartition(parts, F.col("line") * 2)
+    lines = (
+        lines.withColumn("quantity", F.col("l_quantity").cast("int"))
         .withColumn("unit_price", price)
         .withColumn("discount_pct", pct)
         .withColumn("gross_sales", gross)
@@ -330,9 +336,10 @@ def revision_messages(t: Tables, revision: int) -> DataFrame:
     return lines.select(*_message(event, at, revision, REVISIONS))
 
 
-def defective_messages(t: Tables) -> DataFrame:
-    """One message per line; its line number and return flag decide what is wrong with it."""
-    lines = _sales_lines(t).withColumn(
+def defective_messages(t: Tables, parts: int | None = None) -> DataFrame:
+    """One message per line; its line number and return flag decide what is wrong with it. With
+    `parts` they lie in so many partitions, by their offset."""
+    lines = _sales_lines(t, parts).withColumn(
         "defect", F.concat(_text("l_linenumber"), F.col("l_returnflag")))
 
     def when(defect: str, bad, good: Column) -> Column:
@@ -400,9 +407,15 @@ def envelope_messages(t: Tables) -> DataFrame:
 
 
 def sales_events(t: Tables) -> DataFrame:
-    """RAW events: the corrections after contract and duplicate removal."""
+    """RAW events: the corrections after contract and duplicate removal. As in the sink, checked
+    events are written once, ids and positions alone are ranked, and whole events move once."""
     valid, _ = split(validate(correction_messages(t)))
-    stored = to_raw_events(first_arrivals(valid))
+    folder = work_dir(t.spark, "checked-events")
+    checked = without_message(valid).withColumn(ROW, F.monotonically_increasing_id())
+    checked.write.parquet(folder)
+    checked = t.spark.read.schema(checked.schema).parquet(folder)
+    won = first_arrivals(checked.select(ROW, "event_id", *POSITION))
+    stored = to_raw_events(checked.join(won.select(ROW), ROW, "left_semi"))
     return stored.withColumn("ingested_at", F.col("event_timestamp"))
 
 

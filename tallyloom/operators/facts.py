@@ -1,17 +1,22 @@
 """Fact tables: a staged fact with dimension keys looked up by left join.
 
-No broadcast hints: a dimension is broadcast when its measured size is below Spark's
-threshold, otherwise the adaptive skew join splits keys that hold too many rows. A fact
-without a match keeps a NULL key; a duplicate in a dimension multiplies its facts (the
-unique tests report it).
+The key of a dimension is made from its id, so a fact makes it as well, from its own column.
+Only the odd ids of the facts are looked up: those that a dimension lacks, has several times or
+with another key. They are found over distinct ids and written before the facts are joined, so
+that facts stay where they are unless odd ids are many. Then the adaptive skew join splits keys
+that hold too many rows. A fact without a match keeps a NULL key; a duplicate in a dimension
+multiplies its facts (the unique tests report it).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import surrogate_key
+from ..session import work_dir
 
 # The columns of the facts, here and in the selects below.
 _LINEAGE = ["raw_record_id", "source_file", "source_sheet", "source_row_number",
@@ -25,11 +30,36 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_column: str, dim_column: str,
     return fact.join(side, F.col(fact_column) == F.col("_id"), "left").drop("_id")
 
 
+def odd_ids(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """(dim, id, key): what the dimensions have for those ids of the facts that are not there
+    just once, with the key made from the id. Without any row in the dimension the key is NULL."""
+    used = F.array(*[F.struct(F.lit(n).alias("dim"), F.col(f"{n}_id").cast("string").alias("id"))
+                     for n in dims])
+    ids = fact.select(F.inline(used)).where("id is not null").distinct()
+    known = reduce(DataFrame.unionByName, [dim.select(
+        F.lit(n).alias("dim"), F.col(f"{n}_id").cast("string").alias("id"),
+        F.col(f"{n}_key").alias("key"),
+        F.coalesce(F.col(f"{n}_key") == surrogate_key(n, F.col(f"{n}_id")), F.lit(False))
+        .alias("usual")) for n, dim in dims.items()])
+    usual = known.groupBy("dim", "id").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and("usual").alias("usual")).where("n = 1 and usual")
+    odd = ids.join(usual.select("dim", "id"), ["dim", "id"], "left_anti")
+    return odd.join(known.select("dim", "id", "key"), ["dim", "id"], "left")
+
+
 def _lookups(fact: DataFrame, date: DataFrame, day: str,
              dims: dict[str, DataFrame]) -> DataFrame:
     out = lookup(fact, date, day, "date_day", "date_key")
-    for name, dim in dims.items():
-        out = lookup(out, dim, f"{name}_id", f"{name}_id", f"{name}_key")
+    spark, folder = fact.sparkSession, work_dir(fact.sparkSession, "odd-ids")
+    odd_ids(fact, dims).write.parquet(folder)  # so its size is known before the join
+    odd = spark.read.schema("dim string, id string, key string").parquet(folder)
+    for name in dims:
+        side = odd.where(F.col("dim") == name).select(
+            F.col("id").alias("_id"), F.col("key").alias("_key"), F.lit(True).alias("_odd"))
+        own = F.col(f"{name}_id")
+        out = out.join(side, own.cast("string") == F.col("_id"), "left").withColumn(
+            f"{name}_key", F.when(F.col("_odd"), F.col("_key")).otherwise(
+                surrogate_key(name, own))).drop("_id", "_key", "_odd")
     return out
 
 

@@ -38,6 +38,9 @@ BUCKETED = {"stg_sales_unified": ["invoice_id", "product_id"],
             "fact_sales": ["invoice_id", "product_id"]}
 
 
+#: Staged facts: wide, and read by several models.
+KEPT = ["stg_sales", "stg_sales_streaming", "stg_sales_unified", "stg_inventory", "stg_target"]
+
 #: These take longest and others wait for them, so they begin first.
 LONG = ["stg_sales_streaming", "stg_sales", "stg_inventory", "stg_target"]
 
@@ -58,12 +61,15 @@ class Models:
     top of them.
     `bounds` are extra (model, column) pairs for the calendar; by default it spans
     batch sales, targets and inventory only, and stream dates outside get a NULL key.
+    `keep` writes a staged model of facts that other models read and returns what it has written,
+    so that they do not compute it again and its shuffles are gone before they begin.
     """
 
     def __init__(self, sources: dict[str, DataFrame | Callable[[], DataFrame]],
                  given: dict[str, DataFrame] | None = None,
                  bounds: list[tuple[str, str]] | None = None,
-                 exact_margin: bool = True, rows: dict[str, int] | None = None):
+                 exact_margin: bool = True, rows: dict[str, int] | None = None,
+                 keep: Callable[[DataFrame, str], DataFrame] | None = None):
         #: rows of RAW tables and models, where they were counted while writing
         self.rows = dict(rows or {})
         self._sources = dict(sources)
@@ -71,6 +77,7 @@ class Models:
         self._bounds = [("stg_sales", "sales_date"), ("stg_target", "month_start"),
                         ("stg_inventory", "month_start"), *(bounds or [])]
         self._exact_margin = exact_margin
+        self._keep = keep
 
     def source(self, name: str) -> DataFrame:
         table = self._sources[name]
@@ -83,6 +90,12 @@ class Models:
             self._built[name] = self._builders()[name]()
         return self._built[name]
 
+    def _input(self, name: str) -> DataFrame:
+        """A model that another one reads."""
+        if self._keep and name in KEPT and name not in self._built:
+            self._built[name] = self._keep(self.ref(name), name)
+        return self.ref(name)
+
     def _dims(self, *names: str) -> dict[str, DataFrame]:
         return {n: self.ref(f"dim_{n}") for n in names}
 
@@ -99,17 +112,17 @@ class Models:
                 "inventory")},
             "stg_sales_streaming": lambda: stage_events(self.source("sales_events")),
             "stg_sales_unified": lambda: unify_sales(
-                self.ref("stg_sales"), self.ref("stg_sales_streaming")),
-            "dim_date": lambda: dim_date([(self.ref(m), c) for m, c in self._bounds]),
+                self._input("stg_sales"), self._input("stg_sales_streaming")),
+            "dim_date": lambda: dim_date([(self._input(m), c) for m, c in self._bounds]),
             **{f"dim_{n}": dim(n) for n in (
                 "product", "distributor", "salesperson", "outlet")},
             "fact_sales": lambda: fact_sales(
-                self.ref("stg_sales_unified"), self.ref("dim_date"),
+                self._input("stg_sales_unified"), self.ref("dim_date"),
                 self._dims("product", "distributor", "salesperson", "outlet"),
                 self._exact_margin),
             "fact_inventory": lambda: fact_inventory(
-                self.ref("stg_inventory"), self.ref("dim_date"),
+                self._input("stg_inventory"), self.ref("dim_date"),
                 self._dims("distributor", "product")),
             "fact_sales_target": lambda: fact_sales_target(
-                self.ref("stg_target"), self.ref("dim_date"), self._dims("salesperson")),
+                self._input("stg_target"), self.ref("dim_date"), self._dims("salesperson")),
         }
