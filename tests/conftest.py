@@ -16,6 +16,14 @@ def spark():
     return local_session(4, "6g")
 
 
+@pytest.fixture(autouse=True)
+def uncached(request):
+    """What one test has cached is not there in the next."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").catalog.clearCache()
+
+
 @pytest.fixture
 def lake(spark, tmp_path):
     return Lake(spark, str(tmp_path / "lake"))
